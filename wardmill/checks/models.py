@@ -20,6 +20,7 @@ from wardmill.operators.shape import conform
 from wardmill.plans.explain import with_path_contributions
 from wardmill.plans.models import BoostingParams, score, train_model
 from wardmill.schemas import PREDICTION_RAW
+from wardmill.session import ensure_checkpoint_dir
 
 c = F.col
 
@@ -326,15 +327,21 @@ def evaluation_reports(t: Tables) -> DataFrame:
 
 # --- model runs: checked by row count and by unit tests ------------------------------------------
 
-QUICK = BoostingParams(maxIter=5, maxDepth=4, stepSize=0.3, maxBins=32)
+QUICK = BoostingParams(maxIter=4, maxDepth=3, stepSize=0.3, maxBins=32)
+NUMERIC = ["inpatient_capacity", "icu_occupancy_rate", "occ_lag1", "occ_lag4", "occ_roll4", "occ_roll8", "covid_patients",
+           "flu_roll4", "occ_wow_pct_change", "week_number", "certified_bed_count", "population_density"]
+CATEGORICAL = ["season", "hospital_type", "hrr_region"]
 
 
 @check("M03 M04 M05 M06 S04 SK17 W05")
 def scored_snapshot(t: Tables) -> DataFrame:
     """Train on the early weeks of the whole feature store, explain and score the newest snapshot."""
-    rows = features(t)
+    ensure_checkpoint_dir(t.spark)
+    rows = features(t).checkpoint()
     split = temporal_split(rows, "report_date", "2000-06-30", "2001-03-31")
-    model = train_model(split, "XGBoost", QUICK, version="XGBoost@check")
+    model = train_model(
+        split, "XGBoost", QUICK, numeric=NUMERIC, categorical=CATEGORICAL, version="XGBoost@check"
+    )
     newest = latest_snapshot(rows, "hospital_id", "report_date", V.FACT_END, 365)
     scored = with_path_contributions(score(model, newest, V.FACT_END), model.regressor, model.features)
     return conform(top_contributions(scored), PREDICTION_RAW).drop("predicted_at")

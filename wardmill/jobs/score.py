@@ -61,7 +61,8 @@ def train(
     write_splits(rows, f"{out}/splits", features.columns, [TARGET, LABEL])
     rows = spark.read.parquet(f"{out}/splits")
     fitted = {
-        name: train_model(rows, name, p, early_stopping=name != PRIMARY_MODEL, version=f"{name}@{params.run_date}")
+        name: train_model(rows, name, p, early_stopping=name != PRIMARY_MODEL, version=f"{name}@{params.run_date}",
+                          artifacts=f"{out}/preprocessor/{name}")
         for name, p in models.items()
     }
     test = rows.filter(F.col("split") == "test")

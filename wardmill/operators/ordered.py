@@ -31,7 +31,8 @@ def with_value_bucket(df: DataFrame, value: Column, buckets: int = BUCKETS) -> D
     """Tag rows with the bucket of ``value``: equal values share one, larger values never get a lower one."""
     depth = max(1, (buckets - 1).bit_length())
     count = 1 << depth
-    shares = [i / count for i in range(1, count)]
+    # One parsed literal: a Python list would be sent to the JVM element by element.
+    shares = F.expr(f"array({', '.join(f'{i / count}D' for i in range(1, count))})")
     splits = df.agg(F.percentile_approx(value, shares, 10 * count).alias("splits"))
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(depth))])
     position = F.aggregate(
@@ -76,7 +77,8 @@ def running_totals(
         F.col(_BUCKET).alias("_by_bucket"),
         *[F.coalesce(F.sum(f"_part_{m}").over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
     )
-    match = tagged[_BUCKET] == offsets["_by_bucket"]
+    # Null-safe although never NULL: no filter on the bucket expression is inferred and pushed around.
+    match = tagged[_BUCKET].eqNullSafe(offsets["_by_bucket"])
     for b in by:
         match = match & tagged[b].eqNullSafe(offsets[f"_by_{b}"])
     inner_order = F.col(order).desc() if descending else F.col(order).asc()

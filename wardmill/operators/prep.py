@@ -10,50 +10,74 @@ from pyspark.sql import functions as F
 
 from wardmill.constants import HIGH_STRAIN_OCCUPANCY
 from wardmill.functions.measures import clip
-from wardmill.operators.ordered import dense_codes, exact_medians
+from wardmill.operators.ordered import dense_codes, running_totals
 
 
 def _long(df: DataFrame, names: Sequence[str], dtype: str) -> DataFrame:
     return df.select(*[F.col(n).cast(dtype).alias(n) for n in names]).unpivot([], list(names), "feature", "value")
 
 
+def _summary(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row: row count and, per column, present values, moments and a narrow band around the median.
+
+    The sketch behind ``percentile_approx`` misplaces a value by at most one
+    thousandth of the rows here, so the band certainly holds the median.
+    """
+    fields = ", ".join(
+        f"'{n}', named_struct('present', count(`{n}`), 'mean', CAST(avg(`{n}`) AS DOUBLE), "
+        f"'var', CAST(var_pop(`{n}`) AS DOUBLE), "
+        f"'band', percentile_approx(CAST(`{n}` AS DOUBLE), array(0.495D, 0.505D), 1000))"
+        for n in names
+    )
+    return df.agg(F.expr(f"named_struct('n', count(1), 'of', named_struct({fields})) AS summary"))
+
+
+def _band_counts(df: DataFrame, summary: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(feature, value, n) inside each band; everything below a band is one row with a NULL value.
+
+    Counted map-side, so about one percent of the values is shuffled instead of
+    the whole table once per column.
+    """
+    entries = ", ".join(
+        f"named_struct('feature', '{n}', 'value', CAST(`{n}` AS DOUBLE), 'band', _summary.of.`{n}`.band)"
+        for n in names
+    )
+    long = df.withColumn("_summary", summary.scalar()).select(F.expr(f"inline(array({entries}))"))
+    inside = long.filter("value IS NOT NULL AND value <= band[1]")
+    return inside.groupBy("feature", F.expr("CASE WHEN value >= band[0] THEN value END").alias("value")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 def numeric_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(feature, median, mean, deviation): moments of the column after median imputation.
 
-    Deviation is the population one. The moments of the imputed column follow
-    from those of the present values, so the table is read once for the moments
-    and once for the medians.
+    Exact median, population deviation. Two scans: one for the summary row,
+    which also yields the moments of the imputed column, one for the band.
     """
-    moments = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(n).alias(f"n_{n}") for n in names],
-        *[F.avg(n).alias(f"mean_{n}") for n in names],
-        *[F.var_pop(n).alias(f"var_{n}") for n in names],
+    summary = _summary(df, names)
+    counts = _band_counts(df, summary, names)
+    below = counts.filter("value IS NULL").select("feature", F.col("n").alias("below"))
+    band = running_totals(counts, ["feature"], "value", {"n": F.col("n")})
+    per_feature = summary.select(F.expr("inline(array(" + ", ".join(
+        f"named_struct('feature', '{n}', 'n', summary.n, 'present', summary.of.`{n}`.present, "
+        f"'mean', summary.of.`{n}`.mean, 'var', summary.of.`{n}`.var)" for n in names
+    ) + "))"))
+    sizes = per_feature.select("feature", "present").join(below, ["feature"], "left")
+    placed = band.join(sizes, ["feature"]).withColumn("last", F.expr("cum_n + coalesce(below, 0)"))
+    medians = placed.withColumn("first", F.expr("last - n + 1")).groupBy("feature").agg(
+        F.expr("(max(CASE WHEN floor((present + 1) / 2) BETWEEN first AND last THEN value END)"
+               " + max(CASE WHEN floor((present + 2) / 2) BETWEEN first AND last THEN value END)) / 2").alias("median")
     )
-    pairs = F.explode(F.array(*[
-        F.struct(
-            F.lit(n).alias("feature"),
-            F.col("n"),
-            F.col(f"n_{n}").alias("present"),
-            F.col(f"mean_{n}").cast("double").alias("mean"),
-            F.col(f"var_{n}").cast("double").alias("var"),
-        )
-        for n in names
-    ])).alias("f")
-    per_feature = moments.select(pairs).select("f.*")
-    medians = exact_medians(_long(df, names, "double"), ["feature"], "value")
-    joined = per_feature.join(medians, ["feature"], "left")
-    n, present, absent = F.col("n"), F.col("present"), F.col("n") - F.col("present")
-    mean = (present * F.col("mean") + absent * F.col("median")) / n
-    spread = (
-        present * F.col("var")
-        + present * F.pow(F.col("mean") - F.col("imputed_mean"), F.lit(2))
-        + absent * F.pow(F.col("median") - F.col("imputed_mean"), F.lit(2))
-    ) / n
     return (
-        joined.withColumn("imputed_mean", mean)
-        .withColumn("deviation", F.sqrt(spread))
-        .select("feature", "median", F.col("imputed_mean").alias("mean"), "deviation")
+        per_feature.join(medians, ["feature"], "left")
+        .withColumn("imputed", F.expr("(present * coalesce(mean, 0D) + (n - present) * coalesce(median, 0D)) / n"))
+        .withColumn("spread", F.expr(
+            "(present * (coalesce(var, 0D) + pow(coalesce(mean, 0D) - imputed, 2))"
+            " + (n - present) * pow(coalesce(median, 0D) - imputed, 2)) / n"
+        ))
+        .selectExpr("feature", "median", "CASE WHEN median IS NOT NULL THEN imputed END AS mean",
+                    "CASE WHEN median IS NOT NULL THEN sqrt(spread) END AS deviation")
     )
 
 
@@ -89,18 +113,17 @@ class Preprocessor:
         """
         out = df
         if self.numeric:
-            row = self.stats.agg(F.struct(*[
-                F.max(F.when(F.col("feature") == n, F.struct("median", "mean", "deviation"))).alias(n)
+            fields = ", ".join(
+                f"'{n}', max(CASE WHEN feature = '{n}' THEN named_struct('median', median, 'mean', mean, "
+                f"'scale', CASE WHEN deviation > 0 THEN deviation ELSE 1D END) END)"
                 for n in self.numeric
-            ]).alias("row"))
-            out = out.withColumn("_stats", row.scalar())
-            scaled = {}
-            for n in self.numeric:
-                s = F.col("_stats")[n]
-                value = F.coalesce(F.col(n).cast("double"), s["median"])
-                scale = F.when(s["deviation"] > 0, s["deviation"]).otherwise(F.lit(1.0))
-                scaled[n] = (value - s["mean"]) / scale
-            out = out.withColumns(scaled).drop("_stats")
+            )
+            out = out.withColumn("_stats", self.stats.agg(F.expr(f"named_struct({fields}) AS stats")).scalar())
+            out = out.withColumns({
+                n: F.expr(f"(coalesce(CAST(`{n}` AS DOUBLE), _stats.`{n}`.median) - _stats.`{n}`.mean)"
+                          f" / _stats.`{n}`.scale")
+                for n in self.numeric
+            }).drop("_stats")
         if self.categorical:
             row = self.mode_table.agg(F.struct(*[
                 F.max(F.when(F.col("feature") == n, F.col("mode"))).alias(n) for n in self.categorical

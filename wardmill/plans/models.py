@@ -18,6 +18,7 @@ from wardmill.operators.aggregates import with_class_weight
 from wardmill.operators.prep import Preprocessor, clip_target, fit_preprocessor
 from wardmill.operators.shape import align_features, assert_no_leakage, null_sentinels, select_features
 from wardmill.plans.features import LABEL, TARGET
+from wardmill.session import staging_path
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,24 @@ class CapacityModel:
         return _assembled(self.preprocessor.apply(df), self.features)
 
 
+def store_preprocessor(prep: Preprocessor, path: str) -> Preprocessor:
+    """Write the fitted statistics as small tables and go on from those.
+
+    They are the model's artifact, and every later use reads a few rows instead
+    of running the statistics over the training table again.
+    """
+    def stored(df: DataFrame | None, name: str) -> DataFrame | None:
+        if df is None:
+            return None
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    return Preprocessor(
+        prep.numeric, prep.categorical, stored(prep.stats, "numeric"), stored(prep.mode_table, "modes"),
+        stored(prep.codes, "codes"),
+    )
+
+
 def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
 
@@ -66,11 +85,12 @@ def training_rows(df: DataFrame) -> DataFrame:
 def train_model(
     df: DataFrame, name: str, params: BoostingParams = BoostingParams(), with_classifier: bool = True,
     early_stopping: bool = False, numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
-    version: str = "unversioned",
+    version: str = "unversioned", artifacts: str | None = None,
 ) -> CapacityModel:
     """Regressor for the next-week rate and classifier for high strain.
 
-    The preprocessor is fitted on ``split = 'train'`` only. ``early_stopping``
+    The preprocessor is fitted on ``split = 'train'`` only and stored under
+    ``artifacts`` (the shared folder if not given). ``early_stopping``
     watches the validation rows. MLlib grows its trees over partitions with
     tree aggregation; the prepared rows are cached for the iterations and can
     be recomputed from their lineage when an executor is lost.
@@ -82,7 +102,8 @@ def train_model(
     features = [*numeric, *categorical]
     assert_no_leakage(features)
     rows = null_sentinels(training_rows(df), SENTINEL_COLUMNS, SENTINEL)
-    prep = fit_preprocessor(rows.filter(F.col("split") == "train"), numeric, categorical)
+    fitted = fit_preprocessor(rows.filter(F.col("split") == "train"), numeric, categorical)
+    prep = store_preprocessor(fitted, artifacts or staging_path(df.sparkSession, f"preprocessor-{name}"))
     used = ["train", "val"] if early_stopping else ["train"]
     prepared = _assembled(prep.apply(rows.filter(F.col("split").isin(used))), features)
     prepared = prepared.select("features", TARGET, LABEL, (F.col("split") == "val").alias("is_validation")).persist()
