@@ -12,6 +12,7 @@ from wardmill.checks import panels, views
 from wardmill.checks.registry import Tables, load_all
 from wardmill.operators.dedup import keep_latest
 from wardmill.sources.readers import pushed_range
+from wardmill.sources.writers import touched_partitions
 
 FOLDER = "/root/testdata/sf0.001"
 CHECKED = sorted(n for n, k in load_all().items() if k.sql is not None)
@@ -58,5 +59,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert pushed_range("d", "2021-01-01", "2021-02-01") is not None
 
 
+def test_upsert_reads_only_the_partitions_of_its_batch(spark, folder):
+    days = spark.range(20).select(F.col("id"), (F.col("id") % 5).cast("string").alias("d"))
+    days.write.partitionBy("d").parquet(f"{folder}/t")
+    target = spark.read.schema("id long, d string").parquet(f"{folder}/t")
+    source = spark.range(6).select("id", F.when(F.col("id") < 3, "1").otherwise("3").alias("d"))
+    df = touched_partitions(target, source, "d")
+    assert {r["d"] for r in df.collect()} == {"1", "3"} and df.count() == 8
+    assert re.search(r"PartitionFilters: \[[^\]]*d#\d+ >= .*Subquery", plan_of(df))
+
+
 def test_report_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan_of(load_all()["free_capacity_report"](spark, FOLDER))

@@ -19,6 +19,7 @@ from wardmill.plans import bronze as B
 from wardmill.plans import dimensions as D
 from wardmill.plans import silver as SV
 from wardmill.plans.fact import stage_fact
+from wardmill.sources.text_formats import rows_from_json_matrix
 
 c = F.col
 
@@ -582,3 +583,44 @@ def flu_weeks(t: Tables) -> DataFrame:
         F.concat(F.year(d).cast("string"), F.lit("-next")).alias("SEASON"),
     )
     return B.flu_state_week(raw, "orders")
+
+
+# --- payload tables ---------------------------------------------------------------------------
+
+
+@check("SC14 X22 B12 P11", """
+SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey AS VARCHAR), 3, '0') AS county_fips,
+  2021 AS census_year, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state, lpad(CAST(c_custkey AS VARCHAR), 3, '0') AS county,
+  c_acctbal AS total_population_raw, CAST(NULL AS DOUBLE) AS median_household_income_raw,
+  CAST(c_custkey AS DOUBLE) AS "age_raw_B01001_020E"
+FROM customer
+""")
+def census_payloads(t: Tables) -> DataFrame:
+    """One JSON matrix per customer, parsed back to typed census rows."""
+    names = ["B01001_001E", "B19013_001E", "B01001_020E", "state", "county"]
+    values = [c("c_acctbal").cast("string"), F.nullif("c_mktsegment", F.lit("MACHINERY")), c("c_custkey").cast("string"),
+              F.lpad(c("c_nationkey").cast("string"), 2, "0"), F.lpad(c("c_custkey").cast("string"), 3, "0")]
+    matrix = F.array(F.array(*[F.lit(n) for n in names]), F.array(*values))
+    return B.census_year(rows_from_json_matrix(t.customer.select(F.to_json(matrix).alias("body")), "body", names), 2021)
+
+
+@check("B11 F01 F02 P07", """
+SELECT CASE WHEN catchment = 'Entire Network' THEN 'national' ELSE 'state' END AS level, COUNT(*) AS n,
+  round(SUM(rate), 2) AS total_rate
+FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'Entire Network' ELSE o_orderstatus END AS catchment,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS rate
+  FROM orders WHERE o_orderpriority = '1-URGENT') g GROUP BY 1
+""")
+def flu_surveillance_rates(t: Tables) -> DataFrame:
+    rows = t.orders.select(
+        F.when(c("o_orderstatus") == "F", " Entire Network").otherwise(c("o_orderstatus")).alias("CATCHMENT"),
+        F.when(c("o_orderpriority") == "1-URGENT", " OVERALL").otherwise("0-4 yr").alias("AGE_CATEGORY"),
+        F.lit("Overall").alias("SEX_CATEGORY"),
+        F.when(c("o_orderstatus") == "P", "null").otherwise(c("o_totalprice").cast("string")).alias("WEEKLY_RATE"),
+    )
+    national, states = B.by_catchment(B.flu_surveillance(rows, "orders"))
+    return stack([
+        df.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("WEEKLY_RATE"), 2).alias("total_rate"))
+        .select(F.lit(level).alias("level"), "n", "total_rate")
+        for level, df in (("national", national), ("state", states))
+    ])

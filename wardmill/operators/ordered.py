@@ -54,9 +54,9 @@ def running_totals(
 ) -> DataFrame:
     """Per distinct ``order`` value: each measure's sum and its running total up to and with that value.
 
-    Output: ``by``, ``order``, ``<m>`` and ``cum_<m>``. Rows with a NULL order
-    value are left out. Duplicates are combined map-side first, so hot values
-    shrink to one row per task before anything is shuffled.
+    Output: ``by``, ``order``, ``<m>``, ``cum_<m>`` and the group's ``all_<m>``.
+    Rows with a NULL order value are left out. Duplicates are combined map-side
+    first, so hot values shrink to one row per task before anything is shuffled.
     """
     distinct = (
         df.filter(F.col(order).isNotNull())
@@ -66,16 +66,15 @@ def running_totals(
     tagged = with_value_bucket(distinct, F.col(order) if bucket_key is None else bucket_key, buckets)
     part = tagged.groupBy(*by, _BUCKET).agg(*[F.sum(m).alias(f"_part_{m}") for m in measures])
     direction = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
-    earlier = (
-        Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-        if by
-        else Window.partitionBy(F.lit(0)).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    )
     # At most `buckets` rows per group: bounded by construction, whatever the data.
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
+    whole = group.orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = part.select(
         *[F.col(b).alias(f"_by_{b}") for b in by],
         F.col(_BUCKET).alias("_by_bucket"),
         *[F.coalesce(F.sum(f"_part_{m}").over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
+        *[F.sum(f"_part_{m}").over(whole).alias(f"_all_{m}") for m in measures],
     )
     # Null-safe although never NULL: no filter on the bucket expression is inferred and pushed around.
     match = tagged[_BUCKET].eqNullSafe(offsets["_by_bucket"])
@@ -91,6 +90,7 @@ def running_totals(
         order,
         *measures,
         *[(F.col(f"_before_{m}") + F.sum(m).over(inside)).alias(f"cum_{m}") for m in measures],
+        *[F.col(f"_all_{m}").alias(f"all_{m}") for m in measures],
     )
 
 
@@ -129,19 +129,10 @@ def exact_medians(df: DataFrame, by: Sequence[str], value: str, buckets: int = B
     ``F.median`` keeps every distinct value of a group in one task's memory;
     this picks the middle positions out of distributed running counts.
     """
-    counted = running_totals(df, by, value, {"n": F.lit(1)}, buckets=buckets)
-    totals = counted.groupBy(*by).agg(F.max("cum_n").alias("_total"))
-    if by:
-        totals = totals.select(*[F.col(b).alias(f"_total_{b}") for b in by], "_total")
-        match = F.lit(True)
-        for b in by:
-            match = match & counted[b].eqNullSafe(totals[f"_total_{b}"])
-        placed = counted.join(totals, match, "inner")
-    else:
-        placed = counted.withColumn("_total", totals.scalar())
+    placed = running_totals(df, by, value, {"n": F.lit(1)}, buckets=buckets)
     first = F.col("cum_n") - F.col("n") + 1
-    low = F.floor((F.col("_total") + 1) / 2)
-    high = F.floor((F.col("_total") + 2) / 2)
+    low = F.floor((F.col("all_n") + 1) / 2)
+    high = F.floor((F.col("all_n") + 2) / 2)
     return (
         placed.groupBy(*by)
         .agg(

@@ -64,7 +64,8 @@ def numeric_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
         f"'mean', summary.of.`{n}`.mean, 'var', summary.of.`{n}`.var)" for n in names
     ) + "))"))
     sizes = per_feature.select("feature", "present").join(below, ["feature"], "left")
-    placed = band.join(sizes, ["feature"]).withColumn("last", F.expr("cum_n + coalesce(below, 0)"))
+    # One row per feature: its size is that of the schema.
+    placed = band.join(F.broadcast(sizes), ["feature"]).withColumn("last", F.expr("cum_n + coalesce(below, 0)"))
     medians = placed.withColumn("first", F.expr("last - n + 1")).groupBy("feature").agg(
         F.expr("(max(CASE WHEN floor((present + 1) / 2) BETWEEN first AND last THEN value END)"
                " + max(CASE WHEN floor((present + 2) / 2) BETWEEN first AND last THEN value END)) / 2").alias("median")

@@ -155,7 +155,19 @@ def write_run(
         overwrite_partition(batch, path, [run_column], cluster)
     else:
         write_table(batch, path, [run_column], cluster)
-    return n
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
+    """Target rows of the partitions that occur in the source.
+
+    The source's range is a scalar subquery in the partition filter: partitions
+    outside it are never listed for reading, so a weekly delta does not scan the
+    history. The semi join then drops the untouched ones inside the range.
+    """
+    first = source.agg(F.min(partition).alias("first")).scalar()
+    last = source.agg(F.max(partition).alias("last")).scalar()
+    in_range = target.filter((F.col(partition) >= first) & (F.col(partition) <= last))
+    return in_range.join(source.select(partition).distinct(), [partition], "left_semi").select(*target.columns)
 
 
 def upsert_partitions(
@@ -174,8 +186,7 @@ def upsert_partitions(
         overwrite_partition(source, path, [partition], cluster)
         return
     target = spark.read.schema(source.schema).parquet(path)
-    touched = source.select(partition).distinct()
-    affected = target.join(touched, [partition], "left_semi").select(*target.columns)
+    affected = touched_partitions(target, source, partition)
     staged = staging_path(spark, "upsert")
     merge_upsert(affected, source, keys, since, partition).write.parquet(staged)
     try:
