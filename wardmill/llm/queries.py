@@ -3,19 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import decontaminate, weighted_minhash
+from wardmill.llm import (
+    arc_to_warc,
+    decontaminate,
+    embedding_dedup,
+    main_text,
+    mixing,
+    preferences,
+    quality,
+    toxicity,
+    url_filter,
+    weighted_minhash,
+)
+from wardmill.llm.shared import importable_in_tasks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def _query(build):
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable_in_tasks(spark)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
+    return run
+
+
+def learned_from(id_: str = "doc_id"):
+    """Four in five ids; the others are held out."""
+    return F.crc32(F.col(id_).cast("string")) % 5 != 0
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,3 +59,66 @@ def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = weighted_minhash.near_duplicates(_table(spark, folder, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+def _classified(docs: DataFrame, model, threshold: float) -> DataFrame:
+    scored = toxicity.with_scores(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (~learned_from()).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@_query
+def op6_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return _classified(docs, toxicity.train(docs, _table(spark, folder, "labels"), use=learned_from()), 0.5)
+
+
+@_query
+def op8_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return _classified(docs, quality.train(docs, _table(spark, folder, "labels"), use=learned_from()), 0.3)
+
+
+@_query
+def op10_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_duplicate_vectors(_table(spark, folder, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+#: The rules of the URL query.
+URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
+
+
+@_query
+def op1_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = arc_to_warc.pages_through_archives(_table(spark, folder, "pages"))
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_key").cast("long").alias("refers_to"))
+
+
+@_query
+def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    talks = preferences.conversations(_table(spark, folder, "conversations"))
+    found = preferences.formatted(preferences.pairs(talks))
+    return found.select("chosen_id", "rejected_id", "n_common", "prompt", "chosen_text", "rejected_text",
+                        *(F.transform(f"{s}_spans", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))).alias(f"{s}_spans") for s in ("chosen", "rejected")))
+
+
+@_query
+def op4_url_words(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    counts = url_filter.word_counts(pages, F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1))
+    found = url_filter.judged(pages.select("page_id", "url"), URL_RULES, url_filter.fit(counts))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixture = mixing.mix(_table(spark, folder, "documents"))
+    own = lambda values, kind: mixing.pick(values, F.col("src"), kind)
+    return mixture.taken().select(F.col("id").alias("doc_id"), "size", own([s.words for s in mixture.sources], "bigint").alias("source_size"),
+                                  own([s.target for s in mixture.sources], "double").alias("target"), "taken")
+
+
+@_query
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = main_text.with_main_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,3 +23,11 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = new_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def importable_in_tasks(spark: SparkSession) -> None:
+    """Tasks import this package by name; gives workers that start from now on the folder that the driver has it from."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
