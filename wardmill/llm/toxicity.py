@@ -30,7 +30,9 @@ PER_LABEL = 1500
 EPOCHS = 12
 BATCH = 64
 RATE = 0.1
-L1 = 2e-4
+L1 = 3.5e-3
+#: Part of the way from the sample's odds of label 1 to all labelled rows'; the pull to zero already draws scores to the middle.
+PRIOR_SHIFT = 0.5
 SWAP_WEIGHT = 1.0
 SEED = 11
 
@@ -113,7 +115,7 @@ def _term_features(terms: list[str], sizes: tuple[int, ...], bits: int) -> list[
 def fit(labels: np.ndarray, buckets: np.ndarray, bounds: np.ndarray, mentions: list[np.ndarray], identity: Sequence[Sequence[str]] = IDENTITY, *,
         share: float = 0.5, bits: int = BITS, sizes: tuple[int, ...] = SIZES, epochs: int = EPOCHS, rate: float = RATE, l1: float = L1,
         swap_weight: float = SWAP_WEIGHT, seed: int = SEED) -> Toxicity:
-    """``share``: part of label 1 among all labelled rows; the intercept is moved from the sample's part to that one."""
+    """``share``: part of label 1 among all labelled rows; the intercept is moved towards it from the sample's part."""
     model = Toxicity(np.zeros(1 << bits), 0.0, bits, sizes)
     positive = int(labels.sum())
     if not positive or positive == len(labels):
@@ -146,7 +148,8 @@ def fit(labels: np.ndarray, buckets: np.ndarray, bounds: np.ndarray, mentions: l
             seen_b += error.mean() ** 2
             b -= rate / np.sqrt(seen_b) * error.mean()
     part = positive / len(labels)
-    model.intercept = float(b + np.log(share / (1 - share)) - np.log(part / (1 - part))) if 0 < share < 1 else float(b)
+    shift = np.log(share / (1 - share)) - np.log(part / (1 - part)) if 0 < share < 1 else 0.0
+    model.intercept = float(b + PRIOR_SHIFT * shift)
     return model
 
 
