@@ -13,7 +13,8 @@ from wardmill.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", 4, "6g")
+    shared = tempfile.mkdtemp(prefix="wardmill-shared-")
+    session = build_session("tests", "local[4]", 4, "6g", {"spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(session)
     yield session

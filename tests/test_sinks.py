@@ -148,3 +148,60 @@ def test_run_parameters(bad):
     with pytest.raises(ValueError):
         RunParams(**{"run_date": "2024-01-01", **bad})
     assert RunParams("2024-01-15").days_back(14) == "2024-01-01"
+
+
+def test_split_rerun_holds_exactly_the_new_batch(spark, folder):
+    only = lambda *r: spark.createDataFrame(list(r), "k string, _has_violation boolean")
+    left = lambda: sorted(
+        (r["route"], r["k"]) for r in spark.read.schema("k string, route string, exec_date string").parquet(f"{folder}/src").collect())
+    W.write_split(only(("a", False), ("b", True)), folder, "src", "2024-01-01")
+    counts = W.write_split(only(("c", True), ("d", True)), folder, "src", "2024-01-01")
+    assert (counts.total_rows, counts.clean_rows, counts.quarantine_rows) == (2, 0, 2)
+    assert left() == [("quarantine", "c"), ("quarantine", "d")]
+    W.write_split(only(("e", False)), folder, "src", "2024-01-01")
+    assert left() == [("silver", "e")]
+    W.write_split(only(), folder, "src", "2024-01-01")
+    assert left() == [] and not [n for n in os.listdir(folder) if n.startswith("_")]
+
+
+def test_failed_batch_leaves_the_run_as_it_was(spark, folder):
+    path, ddl = f"{folder}/runs", "model string, run_date date"
+    make = lambda *r: conform(spark.createDataFrame(list(r), "model string, run_date string"), ddl)
+    assert W.write_run(make(("x", "2024-01-01"), ("y", "2024-01-01")), path) == 2
+    with pytest.raises(ValueError):
+        W.write_run(make((None, "2024-01-01")), path, required=["model"])
+    assert [r[0] for r in rows(spark.read.schema(ddl).parquet(path))] == ["x", "y"] and os.listdir(folder) == ["runs"]
+
+
+def test_append_takes_only_newer_rows(spark, folder):
+    path, ddl = f"{folder}/log", "k string, run_date date"
+    make = lambda *r: conform(spark.createDataFrame(list(r), "k string, run_date string"), ddl)
+    assert W.append_newer(make(("a", "2024-01-01")), path, "run_date") == 1
+    for expected in (1, 0):
+        assert W.append_newer(make(("b", "2024-01-01"), ("c", "2024-01-02")), path, "run_date") == expected
+    assert rows(spark.read.schema(ddl).parquet(path).select("k")) == [("a",), ("c",)]
+
+
+def test_upsert_refuses_what_it_cannot_place(spark, folder):
+    path = f"{folder}/fact"
+    W.overwrite_partition(frame(spark, ("a", 1, None), ("b", 2, "01")), path, ["d"])
+    for source in (frame(spark, ("c", 3, None)), frame(spark, ("c", 3, "01"), ("c", 4, "01"))):
+        with pytest.raises(ValueError):
+            W.upsert_partitions(spark, path, source, ["k", "d"], "d")
+    W.upsert_partitions(spark, path, frame(spark, ("b", 5, "01")), ["k", "d"], "d")
+    assert rows(spark.read.schema("k string, v int, d string").parquet(path)) == [("a", 1, None), ("b", 5, "01")]
+
+
+def test_merged_partitions_survive_a_failed_overwrite(spark, folder, monkeypatch):
+    path = f"{folder}/fact"
+    W.upsert_partitions(spark, path, frame(spark, ("a", 1, "01")), ["k", "d"], "d")
+    kept = []
+
+    def fail(df, *_):
+        kept.append(df.inputFiles())
+        raise OSError("disk")
+
+    monkeypatch.setattr(W, "overwrite_partition", fail)
+    with pytest.raises(OSError):
+        W.upsert_partitions(spark, path, frame(spark, ("b", 2, "01")), ["k", "d"], "d")
+    assert rows(spark.read.parquet(*kept[0])) == [("a", 1, "01"), ("b", 2, "01")]

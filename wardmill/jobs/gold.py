@@ -15,9 +15,9 @@ from wardmill.plans.dimensions import dim_date, dim_geography, dim_hospital, dim
 from wardmill.plans.fact import FACT_KEYS, stage_fact
 from wardmill.plans.features import feature_weekly
 from wardmill.plans.params import RunParams
-from wardmill.session import build_session, delete_path, path_exists, staging_path
+from wardmill.session import build_session, path_exists
 from wardmill.sources.readers import read_external, with_source_path
-from wardmill.sources.writers import land, upsert_partitions, write_table
+from wardmill.sources.writers import replace_table, upsert_partitions, write_table
 
 ROUTED = ("route", "exec_date")
 
@@ -28,16 +28,10 @@ def _routed(spark: SparkSession, silver: str, name: str, ddl: str, day: str | No
 
 
 def merge_dimension(spark: SparkSession, path: str, source: DataFrame, keys: list[str]) -> None:
-    """Upsert an unpartitioned dimension; the merged table goes through the shared folder."""
-    if not path_exists(spark, path):
-        write_table(source, path)
-        return
-    staged = staging_path(spark, "dimension")
-    land(merge_upsert(spark.read.schema(source.schema).parquet(path), source, keys), staged)
-    try:
-        write_table(spark.read.schema(source.schema).parquet(staged), path)
-    finally:
-        delete_path(spark, staged)
+    """Upsert an unpartitioned dimension; the merged table is complete before the old one goes."""
+    if path_exists(spark, path):
+        source = merge_upsert(spark.read.schema(source.schema).parquet(path), source, keys)
+    replace_table(source, path)
 
 
 def run(spark: SparkSession, params: RunParams, silver: str, gold: str) -> None:

@@ -6,15 +6,14 @@ their process build one here.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str, master: str | None = None, shuffle_partitions: int | None = None,
-                  driver_memory: str | None = None) -> SparkSession:
+                  driver_memory: str | None = None, settings: Mapping[str, str] | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -27,15 +26,17 @@ def build_session(app_name: str, master: str | None = None, shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where the session names none."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    return os.path.join(tempfile.gettempdir(), "wardmill-shared")
+    """The folder that all machines share: ``spark.checkpoint.dir``, else the warehouse; never a machine's own one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not folder:
+        raise ValueError("the session names no shared folder; set spark.checkpoint.dir")
+    return folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -63,3 +64,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _filesystem(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another on the same file system; the old one goes only after the new one is complete."""
+    fs, new = _filesystem(spark, source)
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sibling_path(target, "old")) if fs.exists(old) else None
+    fs.mkdirs(old.getParent())
+    if aside is not None and not fs.rename(old, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new, old):
+        if aside is not None:
+            fs.rename(aside, old)
+        raise OSError(f"cannot move {source} to {target}")
+    if aside is not None:
+        fs.delete(aside, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly inside ``path``."""
+    fs, hadoop_path = _filesystem(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()) if fs.exists(hadoop_path) else []
+
+
+def sibling_path(path: str, purpose: str) -> str:
+    """A new folder next to ``path``, which readers of the tables around it pass over."""
+    base, _, name = path.rstrip("/").rpartition("/")
+    return f"{base}/_{purpose}-{name}-{uuid.uuid4().hex}"

@@ -15,11 +15,11 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.operators.incremental import merge_upsert
-from wardmill.operators.quality import enforce_max_bad_rate, enforce_min_rows, enforce_not_null, quarantine_stats
+from wardmill.operators.incremental import merge_upsert, newer_than_target
+from wardmill.operators.quality import assert_unique, enforce_max_bad_rate, enforce_min_rows, enforce_not_null, quarantine_stats
 from wardmill.operators.shape import keep_existing
 from wardmill.schemas import QUALITY_LOG
-from wardmill.session import delete_path, path_exists, staging_path
+from wardmill.session import delete_path, path_exists, replace_folder, sibling_path, staging_path, subfolders
 
 SILVER, QUARANTINE = "silver", "quarantine"
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite"}
@@ -84,8 +84,9 @@ def write_split(
     """Good and bad rows of one batch in a single pass, routed by a partition column.
 
     ``base/source/route=silver|quarantine/exec_date=...``. The batch is computed
-    once: no cache, no second run of its lineage for the bad rows or the
-    counts, which come from the footers of the written files. With
+    once, into a folder of its own, and counted there; only then do its two
+    routes take the place of the date's earlier ones. A route without rows
+    leaves none behind, so a rerun holds exactly the new batch. With
     ``max_bad_rate`` a count runs first (it needs only the rule columns) and
     stops the batch before anything is written.
     """
@@ -93,24 +94,24 @@ def write_split(
     if max_bad_rate is not None:
         enforce_max_bad_rate(quarantine_stats(df).first(), max_bad_rate)
     target = f"{base}/{source}"
-    # A rerun without bad rows must not leave the earlier run's quarantine behind.
-    delete_path(spark, f"{target}/route={QUARANTINE}/exec_date={exec_date}")
+    staged = sibling_path(target, "split")
     bad = F.col("_has_violation")
     routed = df.withColumns({
         "_quarantine_source": F.when(bad, F.lit(source)),
         "_quarantine_date": F.when(bad, F.lit(exec_date)),
         "route": F.when(bad, F.lit(QUARANTINE)).otherwise(F.lit(SILVER)),
-        "exec_date": F.lit(exec_date),
     })
-    overwrite_partition(routed, target, ["route", "exec_date"], cluster)
-    if not path_exists(spark, target):
-        return SplitCounts(0, 0, 0)
-    counts = {
-        r["route"]: r["n"]
-        for r in spark.read.schema("route string, exec_date string").parquet(target)
-        .filter(F.col("exec_date") == exec_date)
-        .groupBy("route").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    laid_out(routed, ["route"], cluster).write.partitionBy("route").parquet(staged)
+    written = subfolders(spark, staged)
+    counts = {}
+    for route in (SILVER, QUARANTINE):
+        place = f"{target}/route={route}/exec_date={exec_date}"
+        if f"route={route}" in written:
+            counts[route] = spark.read.parquet(f"{staged}/route={route}").count()
+            replace_folder(spark, f"{staged}/route={route}", place)
+        else:
+            delete_path(spark, place)
+    delete_path(spark, staged)
     clean, broken = counts.get(SILVER, 0), counts.get(QUARANTINE, 0)
     return SplitCounts(clean + broken, clean, broken)
 
@@ -145,16 +146,53 @@ def write_run(
     batch: DataFrame, path: str, run_column: str = "run_date", cluster: Sequence[str] = (),
     required: Sequence[str] = (), disposition: str = "WRITE_APPEND", min_rows: int = 1,
 ) -> int:
-    """Replace one run's partition (or the whole table), never with an empty batch."""
-    mode = write_mode(disposition)
-    n = batch.count()
-    enforce_min_rows({"batch": n}, min_rows)
-    if required:
-        enforce_not_null(batch, required)
+    """Replace the runs in the batch (or the whole table), never with an empty batch; the number of its rows.
+
+    The batch is computed once, into a folder next to the table, checked there, and then moved into place.
+    """
+    spark, mode = batch.sparkSession, write_mode(disposition)
+    staged = sibling_path(path, "run")
+    laid_out(batch, [run_column], cluster).write.partitionBy(run_column).parquet(staged)
+    try:
+        written = spark.read.schema(batch.schema).parquet(staged)
+        n = written.count()
+        enforce_min_rows({"batch": n}, min_rows)
+        if required:
+            enforce_not_null(written, required)
+    except Exception:
+        delete_path(spark, staged)
+        raise
     if mode == "append":
-        overwrite_partition(batch, path, [run_column], cluster)
+        for name in subfolders(spark, staged):
+            replace_folder(spark, f"{staged}/{name}", f"{path}/{name}")
+        delete_path(spark, staged)
     else:
-        write_table(batch, path, [run_column], cluster)
+        replace_folder(spark, staged, path)
+    return n
+
+
+def append_newer(batch: DataFrame, path: str, column: str, cluster: Sequence[str] = ()) -> int:
+    """Append the rows past the table's high-water mark, all of them to an absent table; how many there were.
+
+    A table of hive partitions by ``column``. A repeated batch adds nothing.
+    """
+    spark = batch.sparkSession
+    if path_exists(spark, path):
+        batch = newer_than_target(spark.read.schema(batch.schema).parquet(path), batch, column)
+    staged = sibling_path(path, "append")
+    laid_out(batch, [column], cluster).write.partitionBy(column).parquet(staged)
+    n = spark.read.schema(batch.schema).parquet(staged).count()
+    for name in subfolders(spark, staged):
+        replace_folder(spark, f"{staged}/{name}", f"{path}/{name}")
+    delete_path(spark, staged)
+    return n
+
+
+def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
+    """Full refresh of a table that ``df`` may read: the new one is complete before the old one goes."""
+    staged = sibling_path(path, "table")
+    laid_out(df, (), cluster).write.option("compression", "snappy").parquet(staged)
+    replace_folder(df.sparkSession, staged, path)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
@@ -177,22 +215,29 @@ def upsert_partitions(
     """Merge a batch into a partitioned table and rewrite only the partitions it touches.
 
     The partition column belongs to the key, so a row never changes partition.
-    A plan cannot overwrite files it reads, so the merged partitions are first
-    written to the shared folder.
+    The batch is computed once; it must be unique on the key and name every
+    row's partition. Merged partitions are complete in the shared folder before
+    the table's are overwritten, and stay there if that fails.
     """
     if partition not in keys:
         raise ValueError(f"partition column {partition!r} must be part of the key {list(keys)}")
+    staged_source = staging_path(spark, "batch")
+    source.write.parquet(staged_source)
+    source = spark.read.schema(source.schema).parquet(staged_source)
+    if not source.filter(F.col(partition).isNull()).isEmpty():
+        raise ValueError(f"rows without a {partition!r} have no partition to be merged into")
+    if not assert_unique(source, list(keys)).isEmpty():
+        raise ValueError(f"the batch repeats keys {list(keys)}")
     if not path_exists(spark, path):
         overwrite_partition(source, path, [partition], cluster)
-        return
-    target = spark.read.schema(source.schema).parquet(path)
-    affected = touched_partitions(target, source, partition)
-    staged = staging_path(spark, "upsert")
-    merge_upsert(affected, source, keys, since, partition).write.parquet(staged)
-    try:
+    else:
+        target = spark.read.schema(source.schema).parquet(path)
+        affected = touched_partitions(target, source, partition)
+        staged = staging_path(spark, "upsert")
+        merge_upsert(affected, source, keys, since, partition).write.parquet(staged)
         overwrite_partition(spark.read.schema(source.schema).parquet(staged), path, [partition], cluster)
-    finally:
         delete_path(spark, staged)
+    delete_path(spark, staged_source)
 
 
 def write_splits(df: DataFrame, path: str, columns: Sequence[str], keep: Sequence[str]) -> None:
