@@ -45,7 +45,7 @@ def test_region_contract(spark):
         B.zip_regions(spark.createDataFrame([("1", "2")], ["zipcode", "hrrnum"]), "2019")
 
 
-def test_rural_codes_discover_attributes(spark):
+def test_rural_codes_by_role(spark):
     df = spark.createDataFrame([
         ("1001", "AL", "Autauga", "RUCC_2023", "2"), ("1001", "AL", "Autauga", "Population_2020", "58805"),
         ("1001", "AL", "Autauga", "Description", "Metro"), (None, "AL", "x", "RUCC_2023", "3"),
@@ -53,9 +53,11 @@ def test_rural_codes_discover_attributes(spark):
     ], ["FIPS ", "State", "County_Name", "Attribute", "Value"])
     expected = [("01001", "AL", "Autauga", 2, "2023", "Metro", 58805)]
     assert rows(B.rural_codes(df)) == expected
-    assert rows(B.rural_codes(df, ["Description", "Population_2020", "RUCC_2023"])) == expected
-    with pytest.raises(ValueError):
-        B.rural_codes(df.filter("Attribute = 'Description'"))
+    assert rows(B.rural_codes(df, {"code": "RUCC_2023"})) == [("01001", "AL", "Autauga", 2, "2023")]
+    assert B.rural_codes(df.filter("Attribute = 'Description'")).isEmpty()
+    for roles in ({"population": "Population_2020"}, {"code": "RUCC_2023", "description": "RUCC_2023"}, {"code": "x", "name": "y"}):
+        with pytest.raises(ValueError):
+            B.rural_codes(df, roles)
 
 
 def test_flu_state_week(spark):

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from conftest import rows
 from wardmill.operators.metrics import roc_auc
 from wardmill.operators.ordered import dense_codes, exact_medians, rank_within, running_totals
 from wardmill.operators.panel import temporal_split
@@ -108,3 +109,26 @@ def test_temporal_split_is_disjoint_and_complete(spark):
     d = pd.to_datetime(pdf["d"])
     assert d[pdf["split"] == "train"].max() < d[pdf["split"] == "val"].min()
     assert np.datetime64("2023-09-30") == d[pdf["split"] == "val"].max()
+
+
+def test_ranks_keep_the_measures_type(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([("a", big), ("b", big + 1), ("c", None), ("d", -5)], "k string, v bigint")
+    assert {r["k"]: r["rank"] for r in rank_within(df, [], "v").collect()} == {"b": 1, "a": 2, "d": 3, "c": 4}
+    low = spark.createDataFrame([("a", float("-inf")), ("b", None)], "k string, v double")
+    assert {r["k"]: r["rank"] for r in rank_within(low, [], "v").collect()} == {"a": 1, "b": 2}
+
+
+def test_texts_with_a_common_beginning_spread(spark):
+    from wardmill.operators.ordered import with_value_bucket
+
+    df = spark.range(20_000).select(F.concat(F.lit("category-"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("v"))
+    sizes = with_value_bucket(df, "v", 256).groupBy("_value_bucket").count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] > 200 and sizes[1] < 1000
+    codes = dense_codes(df, [], "v").orderBy("v").collect()
+    assert [r["code"] for r in codes] == list(range(20_000))
+
+
+def test_groups_without_values_stay(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None), (None, 2.0)], "g string, v double")
+    assert rows(exact_medians(df, ["g"], "v")) == [("a", 2.0), ("b", None), (None, 2.0)]

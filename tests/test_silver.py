@@ -30,7 +30,7 @@ def usage(spark, *cases):
     (("100", "80", "10", "5", "8", AS_OF), []),
     (("100", "130", "10", "12", "8", "2021-01-01"), ["R1_occupancy_over_120", "R2_icu_used_gt_staffed"]),
     (("nan", "None", "nan", "nan", "nan", "2021-01-01"), []),
-    (("x", "", None, "nan", "nan", "not a date"), []),
+    (("x", "", None, "nan", "nan", "not a date"), ["R7_missing_key"]),
 ])
 def test_each_rule(spark, case, codes):
     df = Q.apply_rules(S.silver_utilization(usage(spark, ("1", *case))), Q.utilization_rules(AS_OF))
@@ -122,3 +122,9 @@ def test_stop_on_too_many_bad_rows():
     Q.enforce_max_bad_rate({"total_rows": 0, "quarantine_rows": 0})
     with pytest.raises(RuntimeError):
         Q.enforce_max_bad_rate({"total_rows": 10, "quarantine_rows": 3})
+
+
+def test_rows_without_a_readable_date_all_reach_quarantine(spark):
+    bad = [("1", "100", str(50 + i), "10", "5", "8", "someday") for i in range(3)]
+    df = Q.apply_rules(S.silver_utilization(usage(spark, *bad, ("1", "100", "80", "10", "5", "8", "2021-01-01"))), Q.utilization_rules(AS_OF))
+    assert sorted(r["_has_violation"] for r in df.collect()) == [False, True, True, True]

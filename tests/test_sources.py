@@ -139,3 +139,25 @@ def test_headers_and_contract(spark):
     assert normalise_headers(df, "lower", {"zipcode18": "zipcode"}).columns == ["state_name", "zipcode"]
     with pytest.raises(ValueError, match="missing columns: \\['hrr'\\]"):
         require_columns(df, ["hrr", "zipcode18"])
+
+
+def test_preamble_headers_of_any_width(spark, folder):
+    wide, narrow = write(folder, "w1.csv", "note\nCATCHMENT,A,B,C\nx,1,2,3\n"), write(folder, "w2.csv", "note, with, many, commas\nB,CATCHMENT\n9,y\n")
+    got = X.read_csv_with_preamble(spark, [wide, narrow], ["CATCHMENT"])
+    assert rows(got.select("CATCHMENT", "A", "B", "C")) == [("x", "1", "2", "3"), ("y", None, "9", None)]
+    with pytest.raises(ValueError, match="w3"):
+        X.read_csv_with_preamble(spark, [wide, write(folder, "w3.csv", "a,b\n1,2\n")], ["CATCHMENT"])
+
+
+def test_layout_lines():
+    assert X.layout_field("@1 a 5. /*x*/") == X.FixedField(1, 5, "x")
+    assert X.layout_field("  @00012   f3   $12.   /* Beds, total */ ;") == X.FixedField(12, 12, "Beds_total")
+    for line in ("input", "@1 a /*x*/", "@1 a 5 /*x*/", "@x a 5. /*x*/", "@1 a 5. no label", "/*x*/ @1 a 5."):
+        assert X.layout_field(line) is None
+
+
+def test_each_payload_by_its_own_header(spark):
+    df = spark.createDataFrame([('[["a","b"],["1","2"]]',), ('[["b","a","c"],["20","10","30"]]',)], "body string")
+    assert rows(X.rows_from_json_matrix(df, "body").select("a", "b", "c")) == [("1", "2", None), ("10", "20", "30")]
+    twice = spark.createDataFrame([('[["a","a"],["1","2"]]',)], "body string")
+    assert rows(X.rows_from_json_matrix(twice, "body", ["a", "a"])) == [("1", "2")]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardmill.checks import views as V
-from wardmill.checks.panels import features
+from wardmill.checks.panels import _feature_sql, features
 from wardmill.checks.registry import Tables, check
 from wardmill.checks.views import oracle
 from wardmill.operators import metrics as M
@@ -18,6 +18,7 @@ from wardmill.operators.ordered import exact_medians
 from wardmill.operators.panel import temporal_split
 from wardmill.operators.shape import conform
 from wardmill.plans.explain import with_path_contributions
+from wardmill.plans.features import TARGET
 from wardmill.plans.models import BoostingParams, score, train_model
 from wardmill.schemas import PREDICTION_RAW
 from wardmill.session import ensure_checkpoint_dir
@@ -319,10 +320,29 @@ def registry_rows(t: Tables) -> DataFrame:
     return M.registry_labels(_evaluated(t), "2022-12-31")
 
 
-@check("M10")
+@check("M10", oracle(f"""
+SELECT e.model_name, '2001-06-30' AS evaluation_timestamp, g.gate_passed, g.failures,
+  CASE WHEN NOT g.gate_passed THEN NULL WHEN e.model_name = (SELECT model_name FROM ({EVALUATION_SQL}) x
+      JOIN gates USING (model_name) WHERE gate_passed ORDER BY mae, model_name <> 'en', model_name LIMIT 1)
+    THEN 'production' ELSE 'candidate' END AS registered_status,
+  '2022-12-31' AS train_end, '2023-09-30' AS val_end, n_test_rows,
+  {_round_sql("mae", "rmse", "r2", "mape", "pred_bias", "precision", "recall", "f1", "roc_auc", "alert_rate")}
+FROM ({EVALUATION_SQL}) e JOIN gates g ON e.model_name = g.model_name
+""".replace("SELECT e.model_name, '2001", f"""WITH gates AS (SELECT model_name,
+  concat_ws(',', CASE WHEN mae >= 0.1 THEN 'mae' END, CASE WHEN r2 <= 0.75 THEN 'r2' END,
+    CASE WHEN roc_auc <= 0.85 THEN 'roc_auc' END, CASE WHEN mae > incumbent_mae + 0.005 THEN 'incumbent' END) AS failures,
+  NOT (mae >= 0.1 OR COALESCE(r2 <= 0.75, FALSE) OR COALESCE(roc_auc <= 0.85, FALSE)
+    OR COALESCE(mae > incumbent_mae + 0.005, FALSE)) AS gate_passed
+FROM ({EVALUATION_SQL}) e LEFT JOIN ({INCUMBENT_SQL}) i USING (model_name))
+SELECT e.model_name, '2001"""), "v_scores"))
 def evaluation_reports(t: Tables) -> DataFrame:
     gated = M.gate_models(_evaluated(t), M.incumbent(_registry(t)))
-    return M.evaluation_report(gated, pick_champion(gated, "en"), V.AS_OF, "2022-12-31", "2023-09-30")
+    champion = pick_champion(gated.filter("gate_passed"), "en")
+    report = M.evaluation_report(gated, champion, V.AS_OF, "2022-12-31", "2023-09-30")
+    return _rounded(report.select(
+        "model_name", "evaluation_timestamp", "gate_passed", F.array_join("gate_failures", ",").alias("failures"),
+        "registered_status", "train_summary.*", "test_metrics.*",
+    ))
 
 
 # --- model runs: checked by row count and by unit tests ------------------------------------------
@@ -333,15 +353,35 @@ NUMERIC = ["inpatient_capacity", "icu_occupancy_rate", "occ_lag1", "occ_lag4", "
 CATEGORICAL = ["season", "hospital_type", "hrr_region"]
 
 
-@check("M03 M04 M05 M06 S04 SK17 W05")
+@check("M03 M04 M05 M06 S04 SK17 W05", oracle(f"""
+SELECT hospital_id, MAX(report_date) AS report_date, TRUE AS in_range, TRUE AS adds_up, TRUE AS label_agrees, TRUE AS beats_mean
+FROM ({_feature_sql()}) f WHERE report_date >= (SELECT MAX(report_date) FROM ({_feature_sql()}) g) - 365 GROUP BY 1
+""", "v_fact", "v_calendar", "v_hospitals", "v_population", "v_geography"))
 def scored_snapshot(t: Tables) -> DataFrame:
-    """Train on the early weeks of the whole feature store, explain and score the newest snapshot."""
+    """Train on the early weeks of the whole feature store, explain and score each facility's newest snapshot.
+
+    What a statement can say of a model's output: the keys, predictions and probabilities inside [0, 1], base value and
+    contributions that add up to the prediction, labels that follow the probability, and a smaller error over the snapshots
+    than the mean of the training rows has.
+    """
     ensure_checkpoint_dir(t.spark)
     rows = features(t).checkpoint()
     split = temporal_split(rows, "report_date", "2000-06-30", "2001-03-31")
     model = train_model(
         split, "XGBoost", QUICK, numeric=NUMERIC, categorical=CATEGORICAL, version="XGBoost@check"
     )
-    newest = latest_snapshot(rows, "hospital_id", "report_date", V.FACT_END, 365)
-    scored = with_path_contributions(score(model, newest, V.FACT_END), model.regressor, model.features)
-    return conform(top_contributions(scored), PREDICTION_RAW).drop("predicted_at")
+    newest = str(rows.agg(F.max("report_date")).first()[0])
+    scored = with_path_contributions(
+        score(model, latest_snapshot(rows, "hospital_id", "report_date", newest, 365), newest), model.regressor, model.features)
+    total = F.aggregate("contributions", F.lit(0.0), lambda s, x: s + x["value"])
+    batch = conform(top_contributions(scored).withColumn("total", total), f"{PREDICTION_RAW}, raw_prediction double, total double")
+    mean = split.filter("split = 'train'").agg(F.avg(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c(TARGET))))).scalar()
+    errors = batch.agg((F.avg("abs_error") < F.avg(F.abs(c("actual_occupancy") - mean))).alias("better"))
+    raw = F.greatest(F.lit(0.0), F.least(F.lit(1.0), c("shap_base_value") + c("total")))
+    return batch.select(
+        "hospital_id", "report_date",
+        (c("pred_occupancy_next_week").between(0, 1) & c("pred_high_strain_prob").between(0, 1)).alias("in_range"),
+        (F.abs(raw - c("raw_prediction")) < 1e-4).alias("adds_up"),
+        (((c("pred_high_strain") == 1) == (c("pred_high_strain_prob") > 0.5)) | (c("pred_high_strain_prob") == 0.5)).alias("label_agrees"),
+        errors.scalar().alias("beats_mean"),
+    )

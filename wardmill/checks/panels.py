@@ -153,7 +153,6 @@ def split_sizes(t: Tables) -> DataFrame:
 def features(t: Tables) -> DataFrame:
     return feature_weekly(
         V.fact(t), dim_date_of(t.lineitem, "l_shipdate"), V.hospitals(t), V.population(t), V.geography(t),
-        V.FACT_START, V.FACT_END,
     )
 
 
@@ -172,7 +171,7 @@ WITH base AS (
     {", ".join(CALENDAR)}, {", ".join(f"CAST({n} AS INTEGER) AS {n}" for n in CALENDAR_FLAGS)},
     {", ".join(CALENDAR_LABELS)}
   FROM v_fact LEFT JOIN v_calendar ON collection_week = full_date
-  WHERE inpatient_beds_capacity > 0 AND collection_week BETWEEN DATE '{V.FACT_START}' AND DATE '{V.FACT_END}'),
+  WHERE inpatient_beds_capacity > 0),
 windowed AS (
   SELECT *, {lags}, {rolls},
     (occupancy_rate - lag(occupancy_rate, 1) OVER w) / NULLIF(lag(occupancy_rate, 1) OVER w, 0) AS {CHANGE},

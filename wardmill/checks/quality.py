@@ -22,7 +22,8 @@ SELECT *, CASE WHEN report_date > DATE '2001-06-30' THEN 'R6_future_report_date'
   CASE WHEN icu_beds_used > icu_beds_staffed THEN 'R2_icu_used_gt_staffed' END AS r2,
   CASE WHEN icu_beds_staffed > inpatient_beds_total THEN 'R3_icu_gt_total_beds' END AS r3,
   CASE WHEN inpatient_beds_total = 0 AND inpatient_beds_used > 0 THEN 'R4_zero_beds_but_patients' END AS r4,
-  CASE WHEN covid_patients > total_patients THEN 'R5_covid_gt_total' END AS r5
+  CASE WHEN covid_patients > total_patients THEN 'R5_covid_gt_total' END AS r5,
+  CASE WHEN provider_id IS NULL OR report_date IS NULL THEN 'R7_missing_key' END AS r7
 FROM ({SILVER_UTILIZATION}) s
 """
 
@@ -32,8 +33,8 @@ def _ruled(t: Tables) -> DataFrame:
 
 
 @check("Q01 Q02 Q03 X17 X18", oracle(f"""
-SELECT provider_id, report_date, concat_ws(',', r6, r1, r2, r3, r4, r5) AS violations,
-  COALESCE(r6, r1, r2, r3, r4, r5) AS first_code, COALESCE(r6, r1, r2, r3, r4, r5) IS NOT NULL AS has_violation
+SELECT provider_id, report_date, concat_ws(',', r6, r1, r2, r3, r4, r5, r7) AS violations,
+  COALESCE(r6, r1, r2, r3, r4, r5, r7) AS first_code, COALESCE(r6, r1, r2, r3, r4, r5, r7) IS NOT NULL AS has_violation
 FROM ({RULES_SQL}) r
 """, "v_bronze_utilization"))
 def rule_violations(t: Tables) -> DataFrame:
@@ -46,8 +47,8 @@ def rule_violations(t: Tables) -> DataFrame:
 @check("A12 SK03 SK04", oracle(f"""
 SELECT state, total_rows, clean_rows, quarantine_rows,
   round(CAST(quarantine_rows AS DOUBLE) / total_rows, 6) AS quarantine_rate
-FROM (SELECT state, COUNT(*) AS total_rows, COUNT(*) FILTER (COALESCE(r6, r1, r2, r3, r4, r5) IS NULL) AS clean_rows,
-    COUNT(*) FILTER (COALESCE(r6, r1, r2, r3, r4, r5) IS NOT NULL) AS quarantine_rows
+FROM (SELECT state, COUNT(*) AS total_rows, COUNT(*) FILTER (COALESCE(r6, r1, r2, r3, r4, r5, r7) IS NULL) AS clean_rows,
+    COUNT(*) FILTER (COALESCE(r6, r1, r2, r3, r4, r5, r7) IS NOT NULL) AS quarantine_rows
   FROM ({RULES_SQL}) r GROUP BY 1) g
 """, "v_bronze_utilization"))
 def quarantine_statistics(t: Tables) -> DataFrame:

@@ -84,7 +84,7 @@ def weekly_trends(t: Tables) -> DataFrame:
 
 @check("R05 F06 J08 A08 S02", oracle(f"""
 SELECT tr.*, hospital_name FROM ({TREND_SQL}) tr JOIN v_hospitals d ON tr.hospital_id = d.hospital_id
-ORDER BY hospital_name, tr.hospital_id, week_start LIMIT 100
+
 """, "v_fact", "v_hospitals"))
 def trend_report(t: Tables) -> DataFrame:
     return R.report_trend(V.fact(t), V.hospitals(t), V.AS_OF)
@@ -101,7 +101,7 @@ WHERE {CURRENT}
 
 
 @check("R06 W10 F07 J08 S02", oracle(
-    _rank_sql("hrr_region") + "ORDER BY hrr_region, rank_in_scope, f.hospital_id LIMIT 100",
+    _rank_sql("hrr_region"),
     "v_fact", "v_hospitals", "v_geography",
 ))
 def region_rank_report(t: Tables) -> DataFrame:

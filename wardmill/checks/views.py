@@ -9,7 +9,7 @@ from wardmill.checks.registry import Tables
 from wardmill.functions.measures import per_100k, pct_of, ratio, metro_flag
 from wardmill.plans.fact import with_rates
 
-FACT_START, FACT_END, AS_OF = "1995-01-01", "2001-12-31", "2001-06-30"
+AS_OF = "2001-06-30"
 
 
 def key10(c: Column) -> Column:

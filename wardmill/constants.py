@@ -44,7 +44,6 @@ TREND_DAYS = 28
 REPORT_ROWS = 100
 SEARCH_ROWS = 10
 PANEL_START = "2020-08-01"
-PANEL_END = "2024-05-10"
 TRAIN_END = "2022-12-31"
 VALIDATION_END = "2023-09-30"
 MIN_ROWS_PER_SPLIT = 500
@@ -61,6 +60,7 @@ RULE_ICU_USED = "R2_icu_used_gt_staffed"
 RULE_ICU_TOTAL = "R3_icu_gt_total_beds"
 RULE_ZERO_BEDS = "R4_zero_beds_but_patients"
 RULE_COVID_TOTAL = "R5_covid_gt_total"
+RULE_NO_KEY = "R7_missing_key"
 GEOGRAPHY_GATE_REASON = "DQ_FAIL: Invalid FIPS or missing state_code"
 POPULATION_GATE_REASON = "DQ_FAIL: invalid FIPS, null year, or negative population"
 
@@ -86,4 +86,7 @@ SENTINEL_COLUMNS = (
 )
 
 # --- fixed values: census variables of the 65+ age bands -----------------------
-AGE_65_PLUS = tuple(f"B01001_{i:03d}E" for i in (*range(20, 26), *range(44, 50)))
+AGE_65_PLUS = (
+    "B01001_020E", "B01001_021E", "B01001_022E", "B01001_023E", "B01001_024E", "B01001_025E",
+    "B01001_044E", "B01001_045E", "B01001_046E", "B01001_047E", "B01001_048E", "B01001_049E",
+)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardmill import constants as K
 from wardmill.functions.measures import safe_div
 from wardmill.operators.dedup import keep_latest
-from wardmill.operators.ordered import running_totals
+from wardmill.operators.ordered import BUCKETS, all_groups, running_totals
 
 
 def _regression_columns(y: Column, p: Column) -> list[Column]:
@@ -51,8 +51,8 @@ def binary_metrics(
     return df.groupBy(*by).agg(*_binary_columns(F.col(label), F.col(prob), threshold))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Exact AUC with half credit for ties; NULL where only one class occurs.
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """Exact AUC with half credit for ties; NULL where only one class occurs or no row has a label and a score.
 
     Scores are folded to distinct values map-side; the negatives below each
     value come from distributed running totals, so no task ranks all rows.
@@ -63,10 +63,11 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
         by,
         score,
         {"pos": (F.col(label) == 1).cast("bigint"), "neg": (F.col(label) == 0).cast("bigint")},
+        buckets=buckets,
     )
     wins = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return totals.groupBy(*by).agg(safe_div(F.sum(wins), pairs).alias("roc_auc"))
+    return all_groups(df, by, totals.groupBy(*by).agg(safe_div(F.sum(wins), pairs).alias("roc_auc")))
 
 
 def prediction_summary(

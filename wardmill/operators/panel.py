@@ -49,9 +49,14 @@ def complete_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df.filter(condition)
 
 
-def panel_filter(df: DataFrame, capacity: str, date: str, start: str, end: str) -> DataFrame:
-    """Bare columns against literals, so both conditions reach the scan."""
-    return df.filter((F.col(capacity) > 0) & F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+def panel_filter(df: DataFrame, capacity: str, date: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Bare columns against literals, so all conditions reach the scan; a bound that is None is open."""
+    kept = df.filter(F.col(capacity) > 0)
+    if start is not None:
+        kept = kept.filter(F.col(date) >= F.lit(start).cast("date"))
+    if end is not None:
+        kept = kept.filter(F.col(date) <= F.lit(end).cast("date"))
+    return kept
 
 
 def densify_weeks(df: DataFrame, entity: str, date: str) -> DataFrame:

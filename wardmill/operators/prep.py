@@ -21,12 +21,13 @@ def _summary(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row: row count and, per column, present values, moments and a narrow band around the median.
 
     The sketch behind ``percentile_approx`` misplaces a value by at most one
-    thousandth of the rows here, so the band certainly holds the median.
+    ten-thousandth of the rows here; ``numeric_stats`` checks that the band
+    holds the median.
     """
     fields = ", ".join(
         f"'{n}', named_struct('present', count(`{n}`), 'mean', CAST(avg(`{n}`) AS DOUBLE), "
         f"'var', CAST(var_pop(`{n}`) AS DOUBLE), "
-        f"'band', percentile_approx(CAST(`{n}` AS DOUBLE), array(0.495D, 0.505D), 1000))"
+        f"'band', percentile_approx(CAST(`{n}` AS DOUBLE), array(0.495D, 0.505D), 10000))"
         for n in names
     )
     return df.agg(F.expr(f"named_struct('n', count(1), 'of', named_struct({fields})) AS summary"))
@@ -77,6 +78,11 @@ def numeric_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
             "(present * (coalesce(var, 0D) + pow(coalesce(mean, 0D) - imputed, 2))"
             " + (n - present) * pow(coalesce(median, 0D) - imputed, 2)) / n"
         ))
+        # The median's rank was counted; a band that misses it is an error, never a NULL.
+        .withColumn("median", F.expr(
+            "CASE WHEN present > 0 AND median IS NULL THEN CAST(raise_error(concat('no median in the band of ', feature))"
+            " AS DOUBLE) ELSE median END"
+        ))
         .selectExpr("feature", "median", "CASE WHEN median IS NOT NULL THEN imputed END AS mean",
                     "CASE WHEN median IS NOT NULL THEN sqrt(spread) END AS deviation")
     )

@@ -31,11 +31,13 @@ def utilization_rules(as_of: str) -> list[Rule]:
         Rule(K.RULE_ZERO_BEDS, ("inpatient_beds_total", "inpatient_beds_used"),
              (c("inpatient_beds_total") == 0) & (c("inpatient_beds_used") > 0)),
         Rule(K.RULE_COVID_TOTAL, ("covid_patients", "total_patients"), c("covid_patients") > c("total_patients")),
+        Rule(K.RULE_NO_KEY, ("provider_id", "report_date"), c("provider_id").isNull() | c("report_date").isNull()),
     ]
 
 
 def facility_rules(as_of: str) -> list[Rule]:
-    return utilization_rules(as_of)[:1]
+    missing = Rule(K.RULE_NO_KEY, ("provider_id",), F.col("provider_id").isNull())
+    return [*utilization_rules(as_of)[:1], missing]
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -12,7 +12,6 @@ in Arrow batches where Spark put them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,23 +74,22 @@ def path_contributions(x: np.ndarray, trees: list[TreeArrays]) -> np.ndarray:
 
 
 def with_path_contributions(scored: DataFrame, model: GBTRegressionModel, features: list[str]) -> DataFrame:
-    """Adds ``contributions`` (array of feature and value) and ``shap_base_value``."""
+    """Adds ``contributions`` (array of feature and value) and ``shap_base_value``.
+
+    Only the vector goes to Python, as an Arrow list column; all other columns stay in the JVM.
+    """
     trees = tree_arrays(model)
     base = float(sum(t.weight * t.value[0] for t in trees))
-    prepared = scored.withColumn("features", vector_to_array("features"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prepared.schema.fields)
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                values = path_contributions(np.stack(batch["features"].to_numpy()), trees)
-                yield batch.assign(_values=list(values))
-            else:
-                yield batch.assign(_values=[])
-
-    explained = prepared.mapInPandas(explain, f"{fields}, _values array<double>")
+
+    @F.pandas_udf("array<double>")
+    def explained(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        return pd.Series(list(path_contributions(np.stack(vectors.to_numpy()), trees)))
+
     names = F.array(*[F.lit(n) for n in features])
-    return explained.withColumns({
+    values = scored.withColumn("_values", explained(vector_to_array("features")))
+    return values.withColumns({
         "contributions": F.zip_with(
             names, "_values", lambda n, v: F.struct(n.alias("feature"), v.alias("value"))
         ),

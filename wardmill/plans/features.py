@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.constants import PANEL_END, PANEL_START
 from wardmill.functions.measures import flag, high_strain
 from wardmill.operators.dedup import keep_first, latest_only
 from wardmill.operators.panel import (
@@ -80,7 +79,7 @@ FEATURE_COLUMNS = (
 )
 
 
-def base_panel(fact: DataFrame, dates: DataFrame, start: str = PANEL_START, end: str = PANEL_END) -> DataFrame:
+def base_panel(fact: DataFrame, dates: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Filtered fact with renamed, zero-filled levels and its calendar attributes."""
     kept = panel_filter(fact, "inpatient_beds_capacity", "collection_week", start, end)
     levels = kept.select(
@@ -124,14 +123,15 @@ def facility_attributes(hospitals: DataFrame, population: DataFrame, geography:
 
 def feature_weekly(
     fact: DataFrame, dates: DataFrame, hospitals: DataFrame, population: DataFrame, geography: DataFrame,
-    start: str = PANEL_START, end: str = PANEL_END, strict_calendar: bool = False, as_of: str | None = None,
+    start: str | None = None, end: str | None = None, strict_calendar: bool = False, as_of: str | None = None,
 ) -> DataFrame:
     """Feature rows that have a target and four rows of history.
 
     ``strict_calendar`` fills missing weeks first, so that a lag of four means
     four weeks instead of four rows; filled weeks themselves are not emitted.
+    Without ``end`` the panel goes up to ``as_of``, or to the newest week.
     """
-    panel = base_panel(fact, dates, start, end)
+    panel = base_panel(fact, dates, start, end or as_of)
     if strict_calendar:
         panel = densify_weeks(panel, "hospital_id", "report_date")
     rows = complete_rows(with_history(panel), [TARGET, "occ_lag4", "occupancy_rate"])

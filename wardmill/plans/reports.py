@@ -116,11 +116,11 @@ def weekly_trend(fact: DataFrame, as_of: str, days: int = TREND_DAYS) -> DataFra
 
 
 def report_trend(
-    fact: DataFrame, hospitals: DataFrame, as_of: str, days: int = TREND_DAYS, n: int = REPORT_ROWS
+    fact: DataFrame, hospitals: DataFrame, as_of: str, days: int = TREND_DAYS, n: int | None = None
 ) -> DataFrame:
-    """Trend rows by facility name; aggregated before the names are joined."""
+    """Trend rows of all facilities, or on request the first ``n`` by name; aggregated before the names are joined."""
     report = _named(weekly_trend(fact, as_of, days), hospitals)
-    return top_n(report, [F.col("hospital_name"), F.col("hospital_id"), F.col("week_start")], n)
+    return report if n is None else top_n(report, [F.col("hospital_name"), F.col("hospital_id"), F.col("week_start")], n)
 
 
 def region_rank(fact: DataFrame, hospitals: DataFrame, geography: DataFrame, scope: str = "hrr_region") -> DataFrame:
@@ -135,10 +135,11 @@ def region_rank(fact: DataFrame, hospitals: DataFrame, geography: DataFrame, sco
 
 
 def report_region_rank(
-    fact: DataFrame, hospitals: DataFrame, geography: DataFrame, scope: str = "hrr_region", n: int = REPORT_ROWS
+    fact: DataFrame, hospitals: DataFrame, geography: DataFrame, scope: str = "hrr_region", n: int | None = None
 ) -> DataFrame:
+    """All facilities with their rank, or on request the first ``n`` by region and rank."""
     ranked = region_rank(fact, hospitals, geography, scope)
-    return top_n(ranked, [F.col(scope), F.col("rank_in_scope"), F.col("hospital_id")], n)
+    return ranked if n is None else top_n(ranked, [F.col(scope), F.col("rank_in_scope"), F.col("hospital_id")], n)
 
 
 def report_forecast_window(forecast: DataFrame, as_of: str, days: int = FORECAST_DAYS) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +52,7 @@ UTILIZATION_NUMBERS = (
 )
 # --- fixed values: vintage columns, newest first; a tuple is summed ----------------
 PHYSICIAN_COLUMNS = (
-    "stgh_rn_ft_incl_nh_23", "phys_nf_prim_care_pc_exc_rsdt_22", "stgh_fte_phys_dent_incl_nh_21",
+    "phys_nf_prim_care_pc_exc_rsdt_22", "stgh_fte_phys_dent_incl_nh_21",
     "f1130820", "f1130819", "f1130818",
 )
 NURSE_COLUMNS = (
@@ -64,6 +66,13 @@ def _texts_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({n: null_text(F.col(n)) for n in texts}) if texts else df
 
 
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One row per complete key; rows with an unreadable key are all kept, for the rules to find."""
+    incomplete = reduce(or_, [F.col(k).isNull() for k in keys])
+    alone = df.withColumn("_alone", F.when(incomplete, F.monotonically_increasing_id()))
+    return keep_first(alone, [*keys, "_alone"], order).drop("_alone")
+
+
 def silver_facility(df: DataFrame, as_of: str | None = None, order: Sequence[Column] = ()) -> DataFrame:
     """One row per provider; ``order`` decides which (newest first), then the row's content."""
     df = _texts_to_null(rename_existing(df, FACILITY_COLUMNS))
@@ -72,7 +81,7 @@ def silver_facility(df: DataFrame, as_of: str | None = None, order: Sequence[Col
     df = with_norm_text(df, ["facility_name", "city", "state"])
     if as_of is not None:
         df = df.withColumn("_processed_at", F.lit(as_of).cast("timestamp"))
-    return keep_existing(keep_first(df, ["provider_id"], order), [*FACILITY_COLUMNS.values(), *AUDIT])
+    return keep_existing(_one_per_key(df, ["provider_id"], order), [*FACILITY_COLUMNS.values(), *AUDIT])
 
 
 def silver_utilization(df: DataFrame, as_of: str | None = None, order: Sequence[Column] = ()) -> DataFrame:
@@ -95,7 +104,7 @@ def silver_utilization(df: DataFrame, as_of: str | None = None, order: Sequence[
         "inpatient_beds_used", "icu_beds_staffed", "icu_beds_used", "occupancy_rate", "covid_patients",
         "total_patients", *AUDIT,
     ]
-    return keep_existing(keep_first(df, ["provider_id", "report_date"], order), columns)
+    return keep_existing(_one_per_key(df, ["provider_id", "report_date"], order), columns)
 
 
 def silver_geography(names: DataFrame, area: DataFrame, region: DataFrame, as_of: str | None = None) -> DataFrame:
