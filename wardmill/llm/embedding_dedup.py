@@ -28,7 +28,8 @@ from wardmill.llm.shared import stored
 COSINE = 0.98
 SIGMAS = 5.0
 MISS = 1e-5
-BUCKET = 64
+#: Unlike vectors that share a bucket, on average.
+BUCKET = 1 / 8
 CELL = 1500
 SEED = 7
 
@@ -46,7 +47,7 @@ def rotation(length: int, bits: int) -> np.ndarray:
 
 def bands_for(largest: int, cosine: float, miss: float = MISS) -> tuple[int, int]:
     """Bits of a band and number of bands."""
-    width = max(8, math.ceil(math.log2(max(largest, 1) / BUCKET + 1)))
+    width = max(8, math.ceil(math.log2(max(largest, 1) / BUCKET)))
     agree = (1 - math.acos(cosine) / math.pi) ** width
     return width, max(1, math.ceil(math.log(miss) / math.log(1 - agree)))
 
@@ -87,11 +88,11 @@ def _coded(width: int, bands: int, kind: type):
                 value = signs[:, :width * bands].reshape(len(some), bands, width) @ (1 << np.arange(width, dtype=np.int64))
                 take = pa.array(some)
                 yield pa.RecordBatch.from_arrays([
-                    *(batch.column(batch.schema.get_field_index(n)).take(take) for n in ("id", "copies", "label")),
+                    *(batch.column(batch.schema.get_field_index(n)).take(take) for n in ("node", "copies", "label")),
                     pa.array(np.full(len(some), length, dtype=np.int32)), pa.array([v.tobytes() for v in raw.astype(kind)], type=pa.binary()),
                     pa.array([v.tobytes() for v in np.packbits(signs, axis=1)], type=pa.binary()), pa.array(factor),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * bands), pa.array(value.ravel())),
-                ], names=["id", "copies", "label", "length", "raw", "code", "factor", "bands"])
+                ], names=["node", "copies", "label", "length", "raw", "code", "factor", "bands"])
 
     return run
 
@@ -99,7 +100,7 @@ def _coded(width: int, bands: int, kind: type):
 def _compared(cosine: float, width: int, bands: int, kind: type):
     def run(batches):
         for table, bounds in complete_groups(batches):
-            ids, copies, band, factor = (table.column(n).to_numpy() for n in ("id", "copies", "band", "factor"))
+            ids, copies, band, factor = (table.column(n).to_numpy() for n in ("node", "copies", "band", "factor"))
             alone, block = table.column("alone").to_numpy(), table.column("block").to_numpy()
             units, codes = table.column("raw").to_pylist(), table.column("code").to_pylist()
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -140,7 +141,7 @@ def _compared(cosine: float, width: int, bands: int, kind: type):
                 some = np.flatnonzero((links > 0) | (root != np.arange(n)))
                 out.append((ids[a + some], links[some].astype(np.int64), ids[a + root[some]]))
             columns = [np.concatenate([x[k] for x in out]) if out else np.zeros(0, dtype=np.int64) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["id", "links", "near"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["node", "links", "near"])
 
     return run
 
@@ -156,21 +157,23 @@ def near_duplicate_vectors(rows: DataFrame, *, id_: str = "vec_id", vector: str
     rows = rows.select(F.col(id_).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("vector"))
     keyed = rows.where("id is not null and label is not null and size(vector) > 0").withColumns({
         "h1": F.xxhash64("label", "vector"), "h2": F.xxhash64(F.lit(1), "vector", "label")})
-    nodes = keyed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
-    nodes = stored(nodes, "vectors")
+    nodes = stored(keyed.groupBy(F.col("h1").alias("node"), "h2").agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector")), "vectors")
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     width, bands = bands_for(largest, cosine)
-    coded = stored(nodes.select("id", "copies", "label", "vector").mapInArrow(_coded(width, bands, kind),
-                   "id long, copies long, label string, length int, raw binary, code binary, factor double, bands array<long>"), "codes")
-    meeting = coded.select("*", F.posexplode("bands").alias("band", "value")).withColumn("bucket", F.xxhash64("label", "length", "band", "value"))
-    meeting = meeting.select("bucket", "id", "copies", "raw", "code", "factor", "band")
-    found = stored(cells(meeting, "bucket", "id", cell).mapInArrow(_compared(cosine, width, bands, kind), "id long, links long, near long"), "vector-links")
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = connected_components(found, "id", "near")
-    good = coded.select("id", "copies").join(counts, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
-    good = good.join(nodes.select("id", "h1", "h2"), "id").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                                                                  F.coalesce("component", "id").alias("component"))
-    linked = keyed.select("id", "h1", "h2").join(good, ["h1", "h2"]).groupBy("id").agg(F.max("links").alias("links"), F.min("component").alias("component"))
+    coded = stored(nodes.select("node", "copies", "label", "vector").mapInArrow(_coded(width, bands, kind),
+                   "node long, copies long, label string, length int, raw binary, code binary, factor double, bands array<long>"), "codes")
+    meeting = coded.select("node", "label", "length", F.posexplode("bands").alias("band", "value"))
+    meeting = meeting.select(F.xxhash64("label", "length", "band", "value").alias("bucket"), "node", "band")
+    payload = coded.select("node", "copies", "raw", "code", "factor")
+    found = stored(cells(meeting, "bucket", "node", cell, payload).mapInArrow(_compared(cosine, width, bands, kind), "node long, links long, near long"), "vector-links")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    classes = connected_components(found, "node", "near")
+    good = coded.select("node", "copies").join(nodes.select("node", "id"), "node").join(counts, "node", "left").join(classes, "node", "left")
+    good = good.select("node", "id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "node").alias("class"))
+    smallest = good.groupBy("class").agg(F.min("id").alias("component"))
+    good = good.join(smallest, "class").select("node", "links", "component")
+    linked = keyed.select("id", F.col("h1").alias("node")).join(good, "node").groupBy("id").agg(F.max("links").alias("links"), F.min("component").alias("component"))
     return rows.select("id").join(linked, "id", "left").select(
         "id", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"))
