@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 
 VOCABULARY = 50_000
 LONGEST = 24
-PRIOR_BLOCK = 0.1
+PRIOR_BLOCK = 0.2
 
-#: Labelled examples, as the words of hosts and paths.
+#: Labelled examples, as the words of hosts and paths. Words that any host may hold (www, example, language codes) are in none.
 BLOCK_EXAMPLES = (
     "cheap pills", "cheap pills online pharmacy", "discount pharmacy viagra cialis", "buy pills no prescription", "spam farm", "link farm spam", "free bets",
     "free bets casino bonus", "online casino slots jackpot", "poker gambling odds betting", "sports betting bets", "porn xxx adult sex", "live sex cams girls",
@@ -32,9 +32,9 @@ BLOCK_EXAMPLES = (
     "torrent pirate free movies", "malware phishing verify account", "hack cheats free coins", "miracle diet pills", "crypto doubler profit",
 )
 ALLOW_EXAMPLES = (
-    "example", "www example", "blog example", "mobile example", "news article", "news blog", "science history research", "university library archive", "city council",
+    "news article", "daily news", "science history research", "university library archive", "city council",
     "school education course", "museum art culture", "health hospital advice", "travel guide map", "recipe food kitchen", "weather report", "open source code docs",
-    "book review", "music concert", "garden home", "sport club", "photo gallery", "forum help", "about contact", "wiki page", "index en", "index de", "index fr", "index es",
+    "book review", "music concert", "garden home", "sport club", "photo gallery", "forum help", "about contact", "wiki page",
 )
 _LETTERS = re.compile(r"[^\W\d_]+")
 
