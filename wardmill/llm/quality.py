@@ -148,6 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_: str = "doc_id", text: str
     rows = texts.mapInArrow(_features(sizes, bits), "label int, buckets array<int>, shares array<float>").toArrow()
     buckets, bounds = gathered(rows.column("buckets"))
     shares, _ = gathered(rows.column("shares"))
+    marks = rows.column("label").to_numpy().astype(np.int64)
+    del rows
     total = sum(counts.values())
-    return fit(rows.column("label").to_numpy().astype(np.int64), buckets.astype(np.int64), shares.astype(np.float64), bounds,
+    return fit(marks, buckets, shares, bounds,
                share=counts.get(1, 0) / total if total else 0.0, bits=bits, sizes=sizes, **settings)

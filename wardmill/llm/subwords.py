@@ -67,7 +67,7 @@ def gathered(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Values and row offsets of a collected list column."""
     arrays = [c for c in column.chunks if len(c)]
     lengths = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in arrays]) if arrays else np.zeros(0, np.int64)
-    values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in arrays]) if arrays else np.zeros(0)
+    values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in arrays]) if arrays else np.zeros(0, np.int32)
     return values, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 

@@ -165,8 +165,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_: str = "doc_id", text: str
     rows = texts.mapInArrow(_features("text", identity, sizes, bits), "label int, buckets array<int>, mentions array<int>").toArrow()
     buckets, bounds = gathered(rows.column("buckets"))
     mentions = [np.array(x, dtype=np.int64) for x in rows.column("mentions").to_pylist()]
+    marks = rows.column("label").to_numpy().astype(np.int64)
+    del rows
     total = sum(counts.values())
-    return fit(rows.column("label").to_numpy().astype(np.int64), buckets.astype(np.int64), bounds, mentions, identity,
+    return fit(marks, buckets, bounds, mentions, identity,
                share=counts.get(1, 0) / total if total else 0.0, bits=bits, sizes=sizes, **settings)
 
 
