@@ -122,3 +122,42 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     found = main_text.with_main_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+SQL["op1_arc_to_warc"] = """
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+  CASE WHEN strlen(h) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(h) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS h, MIN(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages) p
+"""
+
+SQL["op2_winnowing"] = f"""
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM bi),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM bw) x WHERE len(w) >= n),
+m AS (SELECT di.doc_id, di.i, di.n, bw.item_id FROM di JOIN bw ON di.n = bw.n AND array_to_string(di.w[di.i:di.i + di.n - 1], ' ') = bw.g),
+p AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS at FROM m),
+hit AS (SELECT doc_id, COUNT(*) AS n_hit FROM p GROUP BY 1),
+ids AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list
+  FROM (SELECT DISTINCT doc_id, item_id FROM m) u GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(list, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+SQL["op10_rotated_codes"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND list_count(embedding) = len(embedding) AND isfinite(list_sum(embedding))
+  AND (list_max(embedding) > 0 OR list_min(embedding) < 0)),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+n AS (SELECT a, COUNT(*) AS n_links FROM l GROUP BY 1), c AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY 1)
+SELECT e.vec_id, COALESCE(n_links, 0) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+"""
