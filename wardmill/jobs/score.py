@@ -31,10 +31,10 @@ from wardmill.operators.quality import (
     reconcile,
     validate_panel,
 )
-from wardmill.operators.shape import conform, stack
+from wardmill.operators.shape import conform, require_features, stack
 from wardmill.plans.explain import with_path_contributions
 from wardmill.plans.features import LABEL, TARGET
-from wardmill.plans.models import BoostingParams, CapacityModel, score, train_model
+from wardmill.plans.models import BoostingParams, CapacityModel, load_model, save_model, score, train_model
 from wardmill.plans.params import RunParams
 from wardmill.plans.serving import forecast_serving, observability
 from wardmill.session import build_session, ensure_checkpoint_dir, path_exists
@@ -65,6 +65,8 @@ def train(
                           artifacts=f"{out}/preprocessor/{name}")
         for name, p in models.items()
     }
+    for name, model in fitted.items():
+        save_model(model, f"{out}/models/{name}/{params.run_date}")
     test = rows.filter(F.col("split") == "test")
     scored = stack([score(m, test, params.run_date).drop("features") for m in fitted.values()])
     metrics = evaluate(scored, "actual_occupancy", "raw_prediction", "actual_high_strain", "pred_high_strain_prob")
@@ -90,12 +92,25 @@ def train(
     return fitted
 
 
+def registered_models(spark: SparkSession, out: str) -> dict[str, CapacityModel]:
+    """The newest registered version of each model, read back from its files."""
+    registry = spark.read.schema(REGISTRY).parquet(f"{out}/registry")
+    newest = registry.groupBy("model_name").agg(F.max("create_time").cast("date").cast("string").alias("day")).collect()
+    return {r["model_name"]: load_model(spark, f"{out}/models/{r['model_name']}/{r['day']}") for r in newest}
+
+
 def publish(
-    spark: SparkSession, features: DataFrame, hospitals: DataFrame, models: Mapping[str, CapacityModel],
+    spark: SparkSession, features: DataFrame, hospitals: DataFrame, models: Mapping[str, CapacityModel] | None,
     params: RunParams, out: str,
 ) -> bool:
-    """Score the newest snapshot per facility and replace this run in the three tables."""
+    """Score the newest snapshot per facility and replace this run in the three tables.
+
+    Without ``models`` the registered ones are loaded. A feature table that lacks a column of a model stops the run.
+    """
     day = params.run_date
+    models = registered_models(spark, out) if models is None else models
+    for model in models.values():
+        require_features([n for n in model.features if n in features.columns], model.features)
     enforce_checks(freshness(features, "report_date", day).first())
     raw_path = f"{out}/prediction_raw"
     ddl = schemas.PREDICTION_RAW
@@ -139,8 +154,8 @@ def main() -> None:
     features = spark.read.parquet(f"{args.gold}/feature_weekly").drop("report_year")
     hospitals = spark.read.parquet(f"{args.gold}/dim_hospital")
     settings = {PRIMARY_MODEL: BoostingParams(), "LightGBM": BoostingParams(minInstancesPerNode=20)}
-    models = train(spark, features, params, args.out, settings)
-    publish(spark, features, hospitals, models, params, args.out)
+    train(spark, features, params, args.out, settings)
+    publish(spark, features, hospitals, None, params, args.out)
     spark.stop()
 
 

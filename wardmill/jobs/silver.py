@@ -8,15 +8,18 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from wardmill import schemas
 from wardmill.constants import MAX_BAD_RATE
 from wardmill.operators.quality import apply_rules, facility_rules, utilization_rules
+from wardmill.plans.conform import hospital_source, weekly_source
+from wardmill.plans.fact import FACT_KEYS
 from wardmill.plans.params import RunParams
 from wardmill.plans.silver import silver_facility, silver_geography, silver_population, silver_utilization
 from wardmill.session import build_session
-from wardmill.sources.readers import read_external, read_glob, with_lineage
-from wardmill.sources.writers import SplitCounts, append_quality_log, quality_row, write_split
+from wardmill.sources.readers import read_external, read_glob, with_lineage, with_source_path
+from wardmill.sources.writers import SplitCounts, append_quality_log, quality_row, replace_table, upsert_partitions, write_split
 
 
 def run_utilization(spark: SparkSession, params: RunParams, bronze: str, silver: str) -> dict[str, SplitCounts]:
@@ -27,11 +30,18 @@ def run_utilization(spark: SparkSession, params: RunParams, bronze: str, silver:
     usage = with_lineage(
         read_glob(spark, f"{bronze}/utilization", "*.parquet", schemas.BRONZE_UTILIZATION), "utilization", day
     )
+    newest = [F.col("_path").desc()]        # of several files the newest path decides, then content
     batches = {
-        "facility": apply_rules(silver_facility(facility, day), facility_rules(day)),
-        "utilization": apply_rules(silver_utilization(usage, day), utilization_rules(day)),
+        "facility": apply_rules(silver_facility(with_source_path(facility, "_path"), day, newest), facility_rules(day)),
+        "utilization": apply_rules(silver_utilization(with_source_path(usage, "_path"), day, newest), utilization_rules(day)),
     }
     counts = {name: write_split(df, silver, name, day) for name, df in batches.items()}
+    if counts["facility"].clean_rows:
+        clean = spark.read.parquet(f"{silver}/facility/route=silver/exec_date={day}")
+        replace_table(hospital_source(clean), f"{silver}/hospital/route=silver/exec_date={day}")
+    if counts["utilization"].clean_rows:
+        clean = spark.read.parquet(f"{silver}/utilization/route=silver/exec_date={day}")
+        upsert_partitions(spark, f"{silver}/weekly", weekly_source(clean), list(FACT_KEYS), "collection_week")
     rows = [quality_row(name, day, n) for name, n in counts.items() if n.total_rows]
     if rows:
         append_quality_log(spark, f"{silver}/quality_log", rows)

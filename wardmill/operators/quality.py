@@ -222,3 +222,10 @@ def enforce_not_null(df: DataFrame, names: Sequence[str]) -> None:
     broken = {n: v for n, v in nulls.asDict().items() if v}
     if broken:
         raise ValueError(f"NULL in required columns: {broken}")
+
+
+def enforce_none(found: Mapping[str, DataFrame]) -> None:
+    """Stop with the names of the assertions that returned rows."""
+    broken = [name for name, rows in found.items() if not rows.isEmpty()]
+    if broken:
+        raise ValueError(f"failed assertions: {broken}")

@@ -9,7 +9,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill.constants import SENTINEL, SENTINEL_COLUMNS
@@ -55,6 +55,10 @@ class CapacityModel:
         return _assembled(self.preprocessor.apply(df), self.features)
 
 
+MODEL_META = ("name string, version string, features array<string>, numeric array<string>, categorical array<string>, "
+              "has_classifier boolean")
+
+
 def store_preprocessor(prep: Preprocessor, path: str) -> Preprocessor:
     """Write the fitted statistics as small tables and go on from those.
 
@@ -73,6 +77,27 @@ def store_preprocessor(prep: Preprocessor, path: str) -> Preprocessor:
     )
 
 
+def save_model(model: CapacityModel, path: str) -> None:
+    """Trees by MLlib's writers, statistics as tables, names and version as one JSON row."""
+    prep = store_preprocessor(model.preprocessor, f"{path}/preprocessor")
+    model.regressor.write().overwrite().save(f"{path}/regressor")
+    if model.classifier is not None:
+        model.classifier.write().overwrite().save(f"{path}/classifier")
+    row = (model.name, model.version, list(model.features), list(prep.numeric), list(prep.categorical), model.classifier is not None)
+    SparkSession.active().createDataFrame([row], MODEL_META).coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+
+def load_model(spark: SparkSession, path: str) -> CapacityModel:
+    meta = spark.read.schema(MODEL_META).json(f"{path}/meta").first()
+    table = lambda name, there: spark.read.parquet(f"{path}/preprocessor/{name}") if there else None
+    prep = Preprocessor(
+        tuple(meta["numeric"]), tuple(meta["categorical"]), table("numeric", meta["numeric"]), table("modes", meta["categorical"]),
+        table("codes", meta["categorical"]),
+    )
+    classifier = GBTClassificationModel.load(f"{path}/classifier") if meta["has_classifier"] else None
+    return CapacityModel(meta["name"], prep, list(meta["features"]), GBTRegressionModel.load(f"{path}/regressor"), classifier, meta["version"])
+
+
 def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
 

@@ -25,7 +25,7 @@ def read_dated(
 
 def read_glob(spark: SparkSession, root: str, pattern: str, schema: str | StructType) -> DataFrame:
     """Every file under ``root`` whose name matches the pattern."""
-    return spark.read.schema(_schema(schema)).option("pathGlobFilter", pattern).parquet(root)
+    return spark.read.schema(_schema(schema)).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).parquet(root)
 
 
 def with_lineage(df: DataFrame, source: str, as_of: str) -> DataFrame:
