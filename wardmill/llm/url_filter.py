@@ -2,7 +2,7 @@
 
 Names without separators are cut by a unigram Viterbi search: of all ways to cut, the words with the largest product of
 probabilities. A word outside the table has a probability that falls tenfold with each letter. The table holds word counts
-of a text column, its most frequent ``VOCABULARY`` words (the model's size), and the words of the labelled examples. Naive
+of a text column, of words that are at least one in ``VOCABULARY`` (which bounds the model's size), and the words of the labelled examples. Naive
 Bayes with add-one smoothing scores the host's words and the path's; words that no example has say nothing.
 """
 
@@ -116,11 +116,12 @@ def fit(counts: dict[str, int], block: Iterable[str] = BLOCK_EXAMPLES, allow: It
 
 
 def word_counts(rows: DataFrame, text: str | Column, most: int = VOCABULARY) -> dict[str, int]:
-    """The most frequent runs of letters of a text column, lower case; ties by the word."""
+    """Runs of letters of a text column, lower case, that are at least one in ``most`` of all: no more than ``most`` words."""
     column = F.col(text) if isinstance(text, str) else text
     words = rows.select(F.explode(F.split(F.lower(column), r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return {r["word"]: r["n"] for r in counts.collect()}
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    frequent = counts.where(F.col("n") * most >= words.agg(F.count(F.lit(1)).alias("n")).scalar())
+    return {r["word"]: r["n"] for r in frequent.collect()}
 
 
 def judged(rows: DataFrame, rules: Iterable[tuple[str, str]], model: UrlModel, *, url: str = "url") -> DataFrame:
