@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardmill import schemas
 from wardmill.jobs import bronze, gold, silver
-from wardmill.jobs.score import publish, train
+from wardmill.jobs.score import publish, serve, train
 from wardmill.operators.quality import apply_rules, utilization_rules
 from wardmill.plans.features import FEATURE_COLUMNS, GEOGRAPHY, LABEL, POPULATION, TARGET
 from wardmill.plans.models import BoostingParams
@@ -144,8 +144,10 @@ def test_train_and_publish(spark, folder):
     df = panel(spark)
     df.write.parquet(f"{folder}/features")
     features = spark.read.parquet(f"{folder}/features")
-    hospitals = spark.createDataFrame([(str(i), f"n{i}", "AL") for i in range(20)],
-                                      "hospital_id string, hospital_name string, state string")
+    hospitals = spark.createDataFrame([(str(i), f"n{i}", "AL", "01001", 1.0, 2.0, 10 * i) for i in range(20)],
+                                      "hospital_id string, hospital_name string, state string, county_fips string, "
+                                      "latitude double, longitude double, certified_bed_count bigint")
+    geography = spark.createDataFrame([("01001", "Autauga")], "county_fips string, county_name string")
     params = RunParams("2024-04-22")
     quick = BoostingParams(maxIter=8, maxDepth=4, stepSize=0.4, maxBins=32)
     models = train(spark, features, params, f"{folder}/out", {"XGBoost": quick, "LightGBM": quick}, "2023-06-30",
@@ -164,6 +166,11 @@ def test_train_and_publish(spark, folder):
     assert sorted(map(str, spark.read.parquet(f"{folder}/out/prediction_raw").drop("predicted_at").collect())) == sorted(map(str, kept))
     with pytest.raises(ValueError, match="occ_roll4"):
         publish(spark, features.drop("occ_roll4"), hospitals, None, params, f"{folder}/out")
+    for _ in range(2):
+        serve(spark, hospitals, geography, f"{folder}/out")
+        assert spark.read.parquet(f"{folder}/out/forecast_latest").count() == 20
+        dashboard = spark.read.parquet(f"{folder}/out/forecast_enriched")
+        assert dashboard.count() == 20 and dashboard.filter("county_name = 'Autauga'").count() == 20
     later = RunParams("2024-04-29")
     assert publish(spark, features, hospitals, models, later, f"{folder}/out") is False      # nothing new
     with pytest.raises(ValueError, match="data_not_stale"):

@@ -36,9 +36,9 @@ from wardmill.plans.explain import with_path_contributions
 from wardmill.plans.features import LABEL, TARGET
 from wardmill.plans.models import BoostingParams, CapacityModel, load_model, save_model, score, train_model
 from wardmill.plans.params import RunParams
-from wardmill.plans.serving import forecast_serving, observability
+from wardmill.plans.serving import forecast_enriched, forecast_latest, forecast_serving, observability
 from wardmill.session import build_session, ensure_checkpoint_dir, path_exists
-from wardmill.sources.writers import land, split_counts, write_run, write_splits
+from wardmill.sources.writers import append_newer, land, split_counts, upsert_partitions, write_run, write_splits
 
 REGISTRY = "model_name string, status string, create_time timestamp, test_mae double"
 
@@ -141,6 +141,16 @@ def publish(
     return True
 
 
+def serve(spark: SparkSession, hospitals: DataFrame, geography: DataFrame, out: str) -> None:
+    """The serving tables: new runs are appended to the latest forecasts, late runs merged into the dashboard's rows."""
+    served = spark.read.parquet(f"{out}/forecast")
+    append_newer(forecast_latest(served.drop("forecast_id"), hospitals), f"{out}/forecast_latest", "run_date")
+    path = f"{out}/forecast_enriched"
+    target = spark.read.parquet(path) if path_exists(spark, path) else None
+    batch = forecast_enriched(served, hospitals, geography, target).filter(F.col("forecast_date").isNotNull())
+    upsert_partitions(spark, path, batch, ["hospital_id", "forecast_date"], "forecast_date")
+
+
 def main() -> None:
     parser = argparse.ArgumentParser()
     parser.add_argument("run_date")
@@ -155,7 +165,8 @@ def main() -> None:
     hospitals = spark.read.parquet(f"{args.gold}/dim_hospital")
     settings = {PRIMARY_MODEL: BoostingParams(), "LightGBM": BoostingParams(minInstancesPerNode=20)}
     train(spark, features, params, args.out, settings)
-    publish(spark, features, hospitals, None, params, args.out)
+    if publish(spark, features, hospitals, None, params, args.out) and not params.dry_run:
+        serve(spark, hospitals, spark.read.parquet(f"{args.gold}/dim_geography"), args.out)
     spark.stop()
 
 
