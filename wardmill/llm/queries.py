@@ -98,8 +98,9 @@ def op1_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
     talks = preferences.conversations(_table(spark, folder, "conversations"))
     found = preferences.formatted(preferences.pairs(talks))
-    return found.select("chosen_id", "rejected_id", "n_common", "prompt", "chosen_text", "rejected_text",
-                        *(F.transform(f"{s}_spans", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))).alias(f"{s}_spans") for s in ("chosen", "rejected")))
+    spans = lambda side: F.array_join(F.transform(f"{side}_spans", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return found.select("chosen_id", "rejected_id", F.col("n_common").cast("long").alias("n_common"), "prompt", "chosen_text", "rejected_text",
+                        spans("chosen").alias("chosen_spans"), spans("rejected").alias("rejected_spans"))
 
 
 @_query
@@ -161,3 +162,33 @@ n AS (SELECT a, COUNT(*) AS n_links FROM l GROUP BY 1), c AS (SELECT a, MIN(b) A
 SELECT e.vec_id, COALESCE(n_links, 0) AS n_links, component_id, component_id = e.vec_id AS kept
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
 """
+
+
+_SIDE = """(SELECT chosen_id, string_agg(shown, '' ORDER BY k) FILTER (k > n_common) AS text,
+  string_agg(CAST(before + length(role) + 5 AS VARCHAR) || '-' || CAST(before + length(shown) - 1 AS VARCHAR), ',' ORDER BY k)
+    FILTER (k > n_common AND role = 'assistant') AS spans, string_agg(shown, '' ORDER BY k) FILTER (k <= n_common) AS prompt
+  FROM (SELECT *, COALESCE(SUM(CASE WHEN k > n_common THEN length(shown) ELSE 0 END) OVER (PARTITION BY chosen_id ORDER BY k
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM (SELECT x.*, n_common, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown FROM {} x JOIN n USING (chosen_id)) s) r GROUP BY 1)"""
+
+SQL["op3_preferences"] = f"""
+WITH o AS (SELECT conv_id AS id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT id, MAX(k) AS last FROM o WHERE role = 'assistant' GROUP BY 1),
+c AS (SELECT o.*, last FROM o JOIN l USING (id) WHERE k <= last),
+f AS (SELECT role, text, MIN(id) AS first FROM c WHERE k = 1 GROUP BY 1, 2),
+p AS (SELECT c.id AS chosen_id, CASE WHEN first <> c.id THEN first END AS rejected_id, last FROM c JOIN f USING (role, text) WHERE c.k = 1),
+w AS (SELECT id, arg_max(text, k) AS worse FROM c WHERE role = 'assistant' AND k < last GROUP BY 1),
+ch AS (SELECT chosen_id, k, role, text FROM p JOIN c ON c.id = chosen_id),
+rj AS (SELECT chosen_id, k, role, text FROM p JOIN c ON c.id = rejected_id
+  UNION ALL SELECT chosen_id, k, role, CASE WHEN k = p.last THEN coalesce(worse, '') ELSE text END
+  FROM p JOIN c ON c.id = chosen_id LEFT JOIN w ON w.id = chosen_id WHERE rejected_id IS NULL),
+n AS (SELECT chosen_id, COALESCE(MIN(k) FILTER (NOT same) - 1, MAX(k)) AS n_common
+  FROM (SELECT chosen_id, k, a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AS same
+    FROM ch a FULL JOIN rj b USING (chosen_id, k)) j GROUP BY 1),
+x AS {_SIDE.format("ch")}, y AS {_SIDE.format("rj")}
+SELECT chosen_id, rejected_id, n_common, COALESCE(x.prompt, '') AS prompt, COALESCE(x.text, '') AS chosen_text, COALESCE(y.text, '') AS rejected_text,
+  COALESCE(x.spans, '') AS chosen_spans, COALESCE(y.spans, '') AS rejected_spans
+FROM p JOIN n USING (chosen_id) JOIN x USING (chosen_id) JOIN y USING (chosen_id)
+"""
