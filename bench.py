@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +22,7 @@ HEADLINE = (
     "free_capacity_report", "region_rank_report", "persistent_overload_report", "trend_report", "feature_store",
     "utilization_silver", "rule_violations", "latest_line_per_key", "county_regions", "upserted", "hot_key_join",
     "enriched_forecast_table", "grouped_medians", "area_under_curve_overall", "ranked_with_ties", "strongest_contributions",
-    "preprocessed_rows", "population_silver",
+    "preprocessed_rows", "population_silver", "scored_snapshot",
 )
 RUNS = 3
 
@@ -29,7 +30,8 @@ RUNS = 3
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session("bench", f"local[{cpus}]", cpus, os.environ.get("BENCH_MEMORY", "12g"))
+    spark = build_session("bench", f"local[{cpus}]", cpus, os.environ.get("BENCH_MEMORY", "12g"),
+                          {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="wardmill-bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     checks = load_all()

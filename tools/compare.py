@@ -9,6 +9,7 @@ import datetime
 import math
 import os
 import sys
+import tempfile
 import time
 import traceback
 from decimal import Decimal
@@ -68,7 +69,7 @@ def difference(left, right):
 
 def main() -> int:
     folder, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session("compare", "local[8]", 8, "12g")
+    spark = build_session("compare", "local[8]", 8, "12g", {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="wardmill-compare-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     failures = 0

@@ -25,7 +25,7 @@ from wardmill.sources.readers import with_lineage
 c = F.col
 
 
-@check("SC01 SC03", """
+@check("SC03", """
 SELECT o_orderkey, o_totalprice, 'orders' AS _source_file FROM orders
 """)
 def scan_with_lineage(t: Tables) -> DataFrame:

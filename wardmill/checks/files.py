@@ -88,6 +88,15 @@ def json_records_round_trip(t: Tables) -> DataFrame:
     return X.read_json_records(t.spark, path).select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey", "d")
 
 
+@check("SC01", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def dated_source(t: Tables) -> DataFrame:
+    """Two dates of one source are landed, one is read."""
+    root = staging_path(t.spark, "dated")
+    for day, status in (("2024-01-01", "F"), ("2024-01-08", "O")):
+        W.land(t.orders.filter(c("o_orderstatus") == status).select("o_orderkey", "o_orderstatus"), f"{root}/orders/{day}/data.parquet")
+    return R.read_dated(t.spark, root, "orders", "2024-01-01", "o_orderkey bigint, o_orderstatus string")
+
+
 @check("SC02 SC05 SK06", "SELECT o_orderkey, o_orderstatus, TRUE AS has_path FROM orders")
 def landed_files_by_pattern(t: Tables) -> DataFrame:
     path = staging_path(t.spark, "landed")

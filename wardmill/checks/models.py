@@ -9,6 +9,7 @@ from wardmill.checks import views as V
 from wardmill.checks.panels import _feature_sql, features
 from wardmill.checks.registry import Tables, check
 from wardmill.checks.views import oracle
+from wardmill.checks.views import rounded as _rounded
 from wardmill.operators import metrics as M
 from wardmill.operators import prep as P
 from wardmill.operators.aggregates import class_weights
@@ -26,10 +27,6 @@ from wardmill.session import ensure_checkpoint_dir
 c = F.col
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.withColumns({n: F.round(n, digits) for n, dt in df.dtypes if dt == "double"})
-
-
 REGRESSION_SQL = """
 SELECT model_name, COUNT(*) AS n_test_rows, AVG(abs(p - y)) AS mae, sqrt(AVG((p - y) * (p - y))) AS rmse,
   1 - SUM((p - y) * (p - y)) / NULLIF(var_pop(y) * COUNT(y), 0) AS r2,

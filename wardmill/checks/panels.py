@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardmill.checks import views as V
 from wardmill.checks.registry import Tables, check
 from wardmill.checks.views import oracle
+from wardmill.checks.views import rounded as _rounded
 from wardmill.operators import panel as P
 from wardmill.operators.dedup import keep_latest
 from wardmill.operators.incremental import late_window, newer_than_target
@@ -33,10 +34,6 @@ from wardmill.plans.features import (
 c = F.col
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.withColumns({n: F.round(n, digits) for n, dt in df.dtypes if dt == "double"})
-
-
 def _panel(t: Tables) -> DataFrame:
     return V.fact(t).select(
         "hospital_id", "collection_week", c("inpatient_occupancy_rate").alias("rate"), "icu_occupancy_rate",
@@ -246,7 +243,7 @@ def latest_forecast_table(t: Tables) -> DataFrame:
     return _rounded(SV.forecast_latest(shaped, V.hospitals(t)))
 
 
-@check("B17 I02 W03 J05", oracle(f"""
+@check("B17 W03 J05", oracle(f"""
 SELECT l.forecast_id, l.hospital_id, h.hospital_name, h.county_fips, county_name, latitude, longitude, certified_bed_count,
   forecast_date, run_date, predicted_occupancy_rate,
   round(predicted_occupancy_rate * certified_bed_count, 6) AS predicted_patient_volume,
@@ -261,6 +258,42 @@ def enriched_forecast_table(t: Tables) -> DataFrame:
     return _rounded(SV.forecast_enriched(forecast, V.hospitals(t), V.geography(t)))
 
 
+EARLIER_SQL = "(SELECT * FROM v_forecast WHERE run_date < (SELECT MAX(run_date) FROM v_forecast))"
+
+
+def _newest_since(bound: str) -> str:
+    return f"""(SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY hospital_id, forecast_date
+      ORDER BY run_date DESC, forecast_id DESC) AS rn FROM v_forecast WHERE run_date {bound}) r WHERE rn = 1)"""
+
+
+def _earlier(forecast: DataFrame) -> DataFrame:
+    """What a serving table held before the newest run."""
+    return forecast.filter(c("run_date") < forecast.agg(F.max("run_date")).scalar())
+
+
+@check("B16 I01", oracle(f"""
+SELECT hospital_id, hospital_name, forecast_date, run_date, predicted_occupancy_rate, alert_flag
+FROM {_newest_since(f"> COALESCE((SELECT MAX(run_date) FROM {EARLIER_SQL} e), DATE '1900-01-01')")} l
+""", "v_forecast"))
+def latest_forecasts_of_new_runs(t: Tables) -> DataFrame:
+    forecast = SV.forecast_serving(V.predictions(t), V.hospitals(t))
+    latest = SV.forecast_latest(forecast, V.hospitals(t), _earlier(forecast))
+    return latest.select("hospital_id", "hospital_name", "forecast_date", "run_date", "predicted_occupancy_rate", "alert_flag")
+
+
+@check("B17 I02", oracle(f"""
+SELECT l.forecast_id, l.hospital_id, county_name, forecast_date, run_date, predicted_occupancy_rate,
+  round(predicted_occupancy_rate * certified_bed_count, 6) AS predicted_patient_volume
+FROM {_newest_since(f">= COALESCE((SELECT MAX(run_date) FROM {EARLIER_SQL} e) - 3, DATE '1900-01-01')")} l
+LEFT JOIN v_hospitals h ON l.hospital_id = h.hospital_id LEFT JOIN v_geography g ON h.county_fips = g.county_fips
+""", "v_forecast", "v_hospitals", "v_geography"))
+def enriched_forecasts_of_late_runs(t: Tables) -> DataFrame:
+    forecast = SV.forecast_serving(V.predictions(t), V.hospitals(t))
+    rows = SV.forecast_enriched(forecast, V.hospitals(t), V.geography(t), _earlier(forecast))
+    return _rounded(rows.select("forecast_id", "hospital_id", "county_name", "forecast_date", "run_date", "predicted_occupancy_rate",
+                                "predicted_patient_volume"))
+
+
 @check("I01 I02 SK12", oracle("""
 SELECT 'newer' AS part, COUNT(*) AS n FROM v_predictions
   WHERE run_date > (SELECT MAX(run_date) FROM v_predictions WHERE run_date <= DATE '2024-01-20')

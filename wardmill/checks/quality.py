@@ -44,7 +44,7 @@ def rule_violations(t: Tables) -> DataFrame:
     )
 
 
-@check("A12 SK03 SK04", oracle(f"""
+@check("A12", oracle(f"""
 SELECT state, total_rows, clean_rows, quarantine_rows,
   round(CAST(quarantine_rows AS DOUBLE) / total_rows, 6) AS quarantine_rate
 FROM (SELECT state, COUNT(*) AS total_rows, COUNT(*) FILTER (COALESCE(r6, r1, r2, r3, r4, r5, r7) IS NULL) AS clean_rows,
@@ -106,7 +106,7 @@ def repeated_keys(t: Tables) -> DataFrame:
     return Q.assert_unique(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
-@check("Q09 Q19", oracle("""
+@check("Q09", oracle("""
 SELECT model_name, hospital_id, run_date FROM v_predictions WHERE top1_feature IS NULL OR top3_feature IS NULL
 """, "v_predictions"))
 def null_columns(t: Tables) -> DataFrame:

@@ -9,6 +9,7 @@ from wardmill.checks import views as V
 from wardmill.checks.columns import CENSUS_SQL, census_counts
 from wardmill.checks.registry import Tables, check
 from wardmill.checks.views import oracle
+from wardmill.checks.views import rounded as _rounded
 from wardmill.functions.cleaning import pad_code
 from wardmill.operators import aggregates as A
 from wardmill.operators import incremental as I
@@ -24,10 +25,6 @@ from wardmill.sources.text_formats import rows_from_json_matrix
 c = F.col
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.withColumns({n: F.round(n, digits) for n, dt in df.dtypes if dt == "double"})
-
-
 # --- joins ---------------------------------------------------------------------------
 
 

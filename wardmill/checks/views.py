@@ -12,6 +12,10 @@ from wardmill.plans.fact import with_rates
 AS_OF = "2001-06-30"
 
 
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.withColumns({n: F.round(n, digits) for n, dt in df.dtypes if dt == "double"})
+
+
 def key10(c: Column) -> Column:
     return F.lpad(c.cast("string"), 10, "0")
 
