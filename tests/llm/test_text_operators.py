@@ -210,6 +210,17 @@ def test_main_text(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize("attributes, shown", [
+    ('style="overflow:hidden"', True), ('style="overflow: hidden; color: red"', True), ('class="hidden md:block"', True), ('title="Hidden costs of x"', True),
+    ('title="a hidden thing"', True), ('data-class="ad"', True), ('title="display:none"', True), ('style="display:none;display:block"', True),
+    ('aria-hidden="false"', True), ("hidden", False), ('hidden=""', False), ("HIDDEN=hidden", False), ("id=x hidden", False), ('aria-hidden="true"', False),
+    ("aria-hidden=TRUE", False), ('style="color:red; Display : None !important"', False), ("style=visibility:hidden", False), ('class="ad"', False),
+])
+def test_hidden_is_read_by_attribute(attributes, shown):
+    for page in (f"<article {attributes}><p>{PROSE}</p></article>", f"<div {attributes}><p>{PROSE}</p></div>"):
+        assert H.main_text(page) == (PROSE.strip() if shown else "")
+
+
 def test_main_text_of_a_table(spark, table):
     rows = [(1, "<article><p>x</article>", "o"), (2, None, "o"), (3, "<article>" + "<p>y z</p>" * 20_000, "o"), (1, "<article><p>x</article>", "o")]
     got = sorted((r["page_id"], len(r["text"])) for r in H.with_main_text(table(rows, "page_id long, html string, text string")).collect())

@@ -53,25 +53,40 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""",
     re.S | re.I)
-_HINT = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+_HIDES = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^a-zA-Z]+")
 _WORD = re.compile(r"\w+")
 
 GOOD, BAD, OPEN = 1, -1, 0
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by name in lower case, of a repeated name the first; empty for a bare one."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape(value.strip("\"'")))
+    return out
+
+
+def _hidden(values: dict[str, str]) -> bool:
+    style = dict(_HIDES.findall(re.sub(r"/\*.*?\*/", " ", values["style"].lower(), flags=re.S))) if "style" in values else {}
+    return ("hidden" in values or values.get("aria-hidden", "").strip().lower() == "true"
+            or style.get("display") == "none" or style.get("visibility") == "hidden")
+
+
 def _kind(tag: str, attributes: str, inside: bool) -> str:
     """What an element says about its content: ``article``, ``comment``, ``bad`` or nothing."""
+    values = _attributes(attributes)
     words: set[str] = set()
-    for _, value in _HINT.findall(attributes):
-        for name in value.strip("\"'").split():
+    for key in ("class", "id", "role"):
+        for name in values.get(key, "").split():
             parts = [x.lower() for x in _CAMEL.split(name) if x]
             if parts and parts[0] not in _PREFIXES:
                 words.update(parts)
     if words & COMMENT_WORDS:
         return "comment"
-    if tag in BAD_TAGS or words & BAD_WORDS or _HIDDEN.search(attributes):
+    if tag in BAD_TAGS or words & BAD_WORDS or _hidden(values):
         return "bad"
     if (tag == "header" or words & HEADER_WORDS) and not inside:
         return "bad"
