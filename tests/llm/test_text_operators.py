@@ -221,6 +221,19 @@ def test_hidden_is_read_by_attribute(attributes, shown):
         assert H.main_text(page) == (PROSE.strip() if shown else "")
 
 
+@pytest.mark.parametrize("inside, text", [
+    ("<svg class='i'/><p>end", "end"), ("<math/><p>end", "end"), ("<svg><title/><style/><path d='1'/></svg><p>end", "end"), ("<svg><title>t</svg><p>end", "end"),
+    ("<svg-icon></svg-icon><p>end", "end"), ("<button-group>x</button-group><p>end", "x\nend"), ("<video-player src=x></video-player><p>end", "end"),
+    ("<audio-note/><title-bar></title-bar><p>end", "end"), ("<p><button>a<p>one<p><button>b</button>two", "a\none\ntwo"), ("<div><object data=x></div><p>end", "end"),
+    ("<object data=x><p>end", "end"), ("<canvas><div><p>one</div><noscript><p>two", "one\ntwo"), ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "so x=2 holds"),
+    ("<p>a <button><div>no</div></button> b<svg><g><text>no</text></g></svg> c", "a b c"), ("<p>a<object><object>no</object>no</object><select><option>no</select> b", "a b"),
+    ("<iframe src=x><p>a<iframe src=y>no</iframe><template><article><p>no</article></template>", "a"), ("<p>a<script/>no", "a"), ("<p>a<textarea>no<p>no", "a"),
+])
+def test_dropped_elements_end_where_they_end(inside, text):
+    assert H.main_text(f"<article>{inside}") == text
+    assert H.main_text(f"<article>{inside}<svg>" + "<button>" * 3 + "<b>" * 3) == text
+
+
 def test_main_text_of_a_table(spark, table):
     rows = [(1, "<article><p>x</article>", "o"), (2, None, "o"), (3, "<article>" + "<p>y z</p>" * 20_000, "o"), (1, "<article><p>x</article>", "o")]
     got = sorted((r["page_id"], len(r["text"])) for r in H.with_main_text(table(rows, "page_id long, html string, text string")).collect())

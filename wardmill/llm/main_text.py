@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +31,12 @@ STOP_WORDS = frozenset((
     "el los las del y que en un una por con no se su para es al lo como más o pero sus le ha me si sin sobre este ya"
 ).split())
 
-RAW = "script|style|noscript|template|textarea|select|svg|iframe|object|canvas|math|title|button|datalist|audio|video"
+#: Their content is text up to their end tag, or to the end of the page.
+RAW_TAGS = frozenset("script style textarea title".split())
+#: Dropped with what is in them, if they have an end tag.
+DROPPED_TAGS = frozenset("noscript template select svg iframe object canvas button datalist audio video".split())
+#: Of those the ones that hold none of their own kind: a second one shows that the first was left open.
+FLAT_TAGS = frozenset("noscript select iframe button".split())
 BLOCK_TAGS = frozenset((
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul"
@@ -47,12 +53,15 @@ BAD_WORDS = frozenset((
 ).split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond feedback discussion".split())
 HEADER_WORDS = frozenset("header topbar".split())
+#: Not kept in order with other elements.
+INLINE_TAGS = frozenset("a b i em strong u s small big code font nobr tt strike".split())
 _PREFIXES = frozenset("has with no is js without".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""",
-    re.S | re.I)
+    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"""|<(/?)([a-zA-Z][^\s/<>]*+)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^>]*)(?:>|\Z)""",
+    re.S)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in (*RAW_TAGS, "svg")}
 _ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _HIDES = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^a-zA-Z]+")
@@ -161,27 +170,85 @@ class _Blocks:
                 return
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool]]:
-    out, at = _Blocks(), 0
-    for m in _TOKEN.finditer(page):
-        out.text(page[at:m.start()])
+def _tokens(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """Start, end, tag (empty: dropped text), end tag or not, attributes. Raw text belongs to its tag's token."""
+    out: list[tuple[int, int, str, bool, str]] = []
+    at, drawings, endless = 0, 0, False
+    while m := _TOKEN.search(page, at):
         at = m.end()
-        tag = m[3] or m[6]
-        if tag:
-            closing, attributes = (m[2], m[4]) if m[3] else (m[5], m[7])
-            if closing:
-                out.close(tag.lower())
-            else:
-                before = len(out.stack)
-                if attributes and tag.lower() not in BLOCK_TAGS and tag.lower() not in ("a", "br") and out.parts:
-                    kind = _kind(tag.lower(), attributes, True)
-                    if kind in ("bad", "comment"):
-                        out.end()
-                out.open(tag.lower(), attributes or "")
-                if attributes.endswith("/") and len(out.stack) > before and tag.lower() not in BLOCK_TAGS:
-                    out.stack.pop()
-        elif m[1]:
+        tag = (m[2] or m[5] or "").lower()
+        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
+        if tag == "svg":
+            drawings = max(0, drawings - 1) if closing else drawings + (not attributes.endswith("/"))
+        elif tag in RAW_TAGS and not closing and not (drawings and attributes.endswith("/")):
+            edge = _RAW_END["svg"].search(page, at) if drawings and not endless else None
+            endless = endless or bool(drawings) and not edge
+            end = _RAW_END[tag].search(page, at, edge.start() if edge else len(page))
+            stop = end.end() if end else at if edge else len(page)      # in a drawing only up to its end
+            out.append((m.start(), stop, "", False, ""))
+            at = stop
+            continue
+        out.append((m.start(), at, tag, closing, attributes))
+    return out
+
+
+def _ends(tokens: list[tuple[int, int, str, bool, str]]) -> dict[int, int]:
+    """For elements of ``DROPPED_TAGS`` the index of their end tag; none for those that were left open."""
+    out: dict[int, int] = {}
+    if not any(x[2] in DROPPED_TAGS for x in tokens):
+        return out
+    stack: list[tuple[str, int]] = []
+    held: Counter[str] = Counter()
+    flat: dict[str, int] = {}
+    left: set[int] = set()
+    for i, (_, _, tag, closing, attributes) in enumerate(tokens):
+        if not tag or tag in VOID_TAGS or tag in LOOSE_TAGS or tag in INLINE_TAGS:
+            continue
+        if closing:
+            if held[tag]:
+                while True:
+                    name, at = stack.pop()
+                    if at in left:
+                        continue
+                    held[name] -= 1
+                    if name == tag:
+                        break
+                if tag in DROPPED_TAGS:
+                    out[at] = i
+        elif not (attributes.endswith("/") and (tag == "svg" or held["svg"])):
+            if tag in FLAT_TAGS and held[tag]:
+                left.add(flat[tag])
+                held[tag] -= 1
+            flat[tag] = i
+            stack.append((tag, i))
+            held[tag] += 1
+    return out
+
+
+def blocks(page: str) -> list[tuple[str, int, int, bool]]:
+    out, at, dropped = _Blocks(), 0, -1
+    tokens = _tokens(page)
+    ends = _ends(tokens)
+    for i, (start, end, tag, closing, attributes) in enumerate(tokens):
+        if i <= dropped:
+            at = end
+            continue
+        out.text(page[at:start])
+        at = end
+        if not tag or tag in DROPPED_TAGS:
+            dropped = ends.get(i, dropped)
             out.text(" ")
+        elif closing:
+            out.close(tag)
+        else:
+            before = len(out.stack)
+            if attributes and tag not in BLOCK_TAGS and tag not in ("a", "br") and out.parts:
+                kind = _kind(tag, attributes, True)
+                if kind in ("bad", "comment"):
+                    out.end()
+            out.open(tag, attributes)
+            if attributes.endswith("/") and len(out.stack) > before and tag not in BLOCK_TAGS:
+                out.stack.pop()
     out.text(page[at:])
     out.end()
     return out.found
