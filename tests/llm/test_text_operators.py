@@ -234,6 +234,22 @@ def test_dropped_elements_end_where_they_end(inside, text):
     assert H.main_text(f"<article>{inside}<svg>" + "<button>" * 3 + "<b>" * 3) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f'<article><section id="discussion"><h2>4. Discussion</h2><p>short</p><p>{PROSE}</p></section></article>', f"4. Discussion\nshort\n{PROSE.strip()}"),
+    (f'<article class="post legal"><header><h1>T</h1></header><p>{PROSE}</p><p>short</article>', f"T\n{PROSE.strip()}\nshort"),
+    (f'<article><p>one</p><div id="related-work"><h2>Earlier</h2><p>{PROSE}</p></div></article>', f"one\nEarlier\n{PROSE.strip()}"),
+    (f'<div class="elementor-widget"><p>{PROSE}</p></div>', PROSE.strip()),
+    ('<article><h2 id="discussion">Discussion</h2><p>a</p><h2><span id="Feedback">Feedback</span>[edit]</h2><p>b</article>', "Discussion\na\nFeedback[edit]\nb"),
+    ('<article><section id=search><div>\n<h3>Search</h3></div><p>short</section></article>', "Search\nshort"),
+    ('<article><p>a</p><div class="share"><p>Share this</div><div id=related><h3>More</h3><a href=x>b</a> c</div></article>', "a"),
+    (f'<article><p>a</p><div class="related"><p><a href=x>{PROSE}</a></div></article>', "a"),
+    (f'<p>{PROSE}</p><div class="cookie"><p>{PROSE}</div><div id=comments><h2>Comments</h2><p>{PROSE}</div><div class=nav>{PROSE}</div>', PROSE.strip()),
+    (f'<article><p>a</p><div class="legal"><p>{PROSE}</p><div class="share"><p>Share this</div></div></article>', f"a\n{PROSE.strip()}"),
+])
+def test_weak_words_are_a_prior(page, text):
+    assert H.main_text(page) == text
+
+
 def test_main_text_of_a_table(spark, table):
     rows = [(1, "<article><p>x</article>", "o"), (2, None, "o"), (3, "<article>" + "<p>y z</p>" * 20_000, "o"), (1, "<article><p>x</article>", "o")]
     got = sorted((r["page_id"], len(r["text"])) for r in H.with_main_text(table(rows, "page_id long, html string, text string")).collect())

@@ -1,7 +1,8 @@
 """Main text of HTML pages by two-pass block rules.
 
 The page is cut into blocks at block-level tags. First pass: a block gets a label from what surrounds it (a menu, an advert,
-comments: bad; an article or main element: good) or else from its own numbers: a high share of link text is bad, a long
+comments: bad; an article or main element: good; a name that may be either, as related or legal: bad as long as no block in it is
+good by its numbers) or else from its own numbers: a high share of link text is bad, a long
 block with many stop words is good, a long one without is bad; a short one is undecided. Second pass: undecided blocks inherit
 from the nearest decided neighbours in page order, before and after; where these differ, the nearer one decides, and at
 equal distance the block is good only if it is a heading or nearly has the stop words of a good block.
@@ -12,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,15 +45,20 @@ BLOCK_TAGS = frozenset((
 ).split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LOOSE_TAGS = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())       # often left open
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BAD_TAGS = frozenset("nav aside footer form menu dialog fieldset".split())
-#: Words in class, id and role that mark boilerplate.
+#: Words in class, id and role that mark boilerplate beyond doubt.
 BAD_WORDS = frozenset((
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert alerts "
-    "popup modal overlay newsletter subscribe subscription signup login sidebar rail widget widgets related recommended recommendations share sharing social "
-    "follow menu nav navbar navigation breadcrumb breadcrumbs pagination pager masthead footer copyright legal disclaimer form search tagcloud "
-    "toolbar skip complementary contentinfo dialog"
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted cookie cookies consent gdpr "
+    "popup modal overlay newsletter subscribe subscription signup login sidebar nav navbar navigation breadcrumb breadcrumbs pagination pager "
+    "masthead footer tagcloud complementary contentinfo"
+).split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+#: Words that parts of an article hold as well. A prior only: a long block with many stop words and few links overrides it.
+WEAK_WORDS = frozenset((
+    "promotion notice notices alert alerts rail widget widgets related recommended recommendations share sharing social follow menu copyright legal "
+    "disclaimer form search toolbar skip dialog reply replies respond feedback discussion"
 ).split())
-COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond feedback discussion".split())
 HEADER_WORDS = frozenset("header topbar".split())
 #: Not kept in order with other elements.
 INLINE_TAGS = frozenset("a b i em strong u s small big code font nobr tt strike".split())
@@ -84,21 +91,48 @@ def _hidden(values: dict[str, str]) -> bool:
             or style.get("display") == "none" or style.get("visibility") == "hidden")
 
 
-def _kind(tag: str, attributes: str, inside: bool) -> str:
-    """What an element says about its content: ``article``, ``comment``, ``bad`` or nothing."""
+def _names(text: str) -> list[str]:
+    """Words of an id or heading, without numbers before and after them."""
+    out = re.findall(r"[^\W_]+", text.lower())
+    while out and out[-1].isdigit():
+        out.pop()
+    while out and out[0].isdigit():
+        del out[0]
+    return out
+
+
+def _no_heading() -> tuple[str, bool]:
+    return "", False
+
+
+def _kind(tag: str, attributes: str, inside: bool, heading: Callable[[], tuple[str, bool]] = _no_heading) -> str:
+    """What an element says about its content: ``article``, ``comment``, ``bad``, ``weak`` or nothing.
+
+    ``heading``: text of the heading that the element begins with or (true) belongs to. An id made from it says nothing, but
+    comments and menus may well have a heading with their name.
+    """
     values = _attributes(attributes)
     words: set[str] = set()
-    for key in ("class", "id", "role"):
+    for key in ("class", "role", "id"):
+        found: set[str] = set()
         for name in values.get(key, "").split():
             parts = [x.lower() for x in _CAMEL.split(name) if x]
             if parts and parts[0] not in _PREFIXES:
-                words.update(parts)
+                found.update(parts)
+        if key == "id" and found & (COMMENT_WORDS | BAD_WORDS | WEAK_WORDS):
+            text, own = heading()
+            name, title = _names(values[key]), _names(text)
+            if title and (title[:len(name)] == name if own else title == name and not found & (COMMENT_WORDS | BAD_WORDS)):
+                continue
+        words |= found
     if words & COMMENT_WORDS:
         return "comment"
     if tag in BAD_TAGS or words & BAD_WORDS or _hidden(values):
         return "bad"
     if (tag == "header" or words & HEADER_WORDS) and not inside:
         return "bad"
+    if words & WEAK_WORDS and tag != "main":
+        return "weak"
     return "article" if tag in ("article", "main") or "main" in words and tag != "body" else ""
 
 
@@ -109,12 +143,22 @@ class _Blocks:
         self.found: list[tuple[str, int, int, bool]] = []
         self.parts: list[str] = []
         self.linked = self.in_link = self.breaks = 0
-        self.stack: list[tuple[str, str]] = []
+        self.stack: list[tuple[str, str, int]] = []
         self.heading = False
+        self.weak = GOOD
 
     def label(self) -> int:
-        kinds = {kind for _, kind in self.stack}
-        return BAD if kinds & {"bad", "comment"} else GOOD if "article" in kinds else OPEN
+        """Above ``GOOD``: the number of the innermost element with a weak word."""
+        kinds = {kind for _, kind, _ in self.stack}
+        if kinds & {"bad", "comment"}:
+            return BAD
+        if "weak" in kinds:
+            return max(x[2] for x in self.stack)
+        return GOOD if "article" in kinds else OPEN
+
+    def push(self, tag: str, kind: str) -> None:
+        self.weak += kind == "weak"
+        self.stack.append((tag, kind, self.weak if kind == "weak" else 0))
 
     def text(self, raw: str) -> None:
         if raw:
@@ -132,7 +176,7 @@ class _Blocks:
                 self.found.append((text, self.linked, self.label(), self.heading))
         self.parts, self.linked, self.breaks, self.heading = [], 0, 0, False
 
-    def open(self, tag: str, attributes: str) -> None:
+    def open(self, tag: str, attributes: str, heading: Callable[[], tuple[str, bool]]) -> None:
         if tag == "br":
             self.breaks += 1
             if self.breaks > 1:
@@ -142,17 +186,20 @@ class _Blocks:
             self.in_link = 1
         elif tag in BLOCK_TAGS:
             self.end()
-            self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+            self.heading = tag in HEADINGS
             if tag in VOID_TAGS or tag in ("html", "body"):
                 return
-            kind = _kind(tag, attributes, any(k == "article" for _, k in self.stack))
-            if kind == "article" and not any(k == "comment" for _, k in self.stack):
-                self.stack = [x for x in self.stack if x[1] != "bad"]      # an article in a menu or advert: that one was left open
+            kind = _kind(tag, attributes, any(k == "article" or t == "article" for t, k, _ in self.stack), heading)
+            if kind == "article" and not any(k == "comment" for _, k, _ in self.stack):
+                self.stack = [x for x in self.stack if x[1] not in ("bad", "weak")]      # an article in a menu or advert: that one was left open
                 self.in_link = 0
             if kind or tag not in LOOSE_TAGS:
-                self.stack.append((tag, kind))
-        elif attributes and tag not in VOID_TAGS and _kind(tag, attributes, True) in ("bad", "comment"):
-            self.stack.append((tag, "bad"))
+                self.push(tag, kind)
+        elif attributes and tag not in VOID_TAGS:
+            kind = _kind(tag, attributes, True, heading)
+            if kind in ("bad", "comment", "weak"):
+                self.end()
+                self.push(tag, "weak" if kind == "weak" else "bad")
 
     def close(self, tag: str) -> None:
         if tag == "a":
@@ -225,16 +272,49 @@ def _ends(tokens: list[tuple[int, int, str, bool, str]]) -> dict[int, int]:
     return out
 
 
+class _Headings:
+    """Text of the heading that an element begins with or belongs to; looked for when an id asks for it."""
+
+    def __init__(self, page: str, tokens: list[tuple[int, int, str, bool, str]]) -> None:
+        self.page, self.tokens, self.first, self.texts = page, tokens, [], {}
+
+    def begins(self, i: int) -> int:
+        """The heading before whose end no other text stands, or -1."""
+        if not self.first:
+            self.first = [-1] * (len(self.tokens) + 1)
+            for k in range(len(self.tokens) - 1, -1, -1):
+                _, end, tag, closing, _ = self.tokens[k]
+                if tag in HEADINGS:
+                    self.first[k] = -1 if closing else k
+                elif k + 1 < len(self.tokens) and not self.page[end:self.tokens[k + 1][0]].strip():
+                    self.first[k] = self.first[k + 1]
+        return self.first[i]
+
+    def text(self, at: int) -> str:
+        if at < 0:
+            return ""
+        if at not in self.texts:
+            parts, k = [], at
+            while k + 1 < len(self.tokens) and not (k > at and self.tokens[k][2] in HEADINGS):
+                parts.append(self.page[self.tokens[k][1]:self.tokens[k + 1][0]])
+                k += 1
+            self.texts[at] = html.unescape("".join(parts))
+        return self.texts[at]
+
+
 def blocks(page: str) -> list[tuple[str, int, int, bool]]:
-    out, at, dropped = _Blocks(), 0, -1
+    out, at, dropped, title = _Blocks(), 0, -1, -1
     tokens = _tokens(page)
     ends = _ends(tokens)
+    headings = _Headings(page, tokens)
     for i, (start, end, tag, closing, attributes) in enumerate(tokens):
         if i <= dropped:
             at = end
             continue
         out.text(page[at:start])
         at = end
+        if tag in BLOCK_TAGS:
+            title = i if tag in HEADINGS and not closing else -1
         if not tag or tag in DROPPED_TAGS:
             dropped = ends.get(i, dropped)
             out.text(" ")
@@ -242,11 +322,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
             out.close(tag)
         else:
             before = len(out.stack)
-            if attributes and tag not in BLOCK_TAGS and tag not in ("a", "br") and out.parts:
-                kind = _kind(tag, attributes, True)
-                if kind in ("bad", "comment"):
-                    out.end()
-            out.open(tag, attributes)
+            own = title >= 0
+            out.open(tag, attributes, lambda at=title if own else i, own=own: (headings.text(at if own else headings.begins(at)), own))
             if attributes.endswith("/") and len(out.stack) > before and tag not in BLOCK_TAGS:
                 out.stack.pop()
     out.text(page[at:])
@@ -258,13 +335,13 @@ def labels(found: list[tuple[str, int, int, bool]]) -> list[int]:
     """Final label of each block."""
     first, nearly = [], []
     for text, linked, around, _ in found:
-        words = _WORD.findall(text.lower()) if around == OPEN else ()
+        words = _WORD.findall(text.lower()) if around not in (BAD, GOOD) else ()
         stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
         links = linked / len(text)
         nearly.append(stop >= STOP_HIGH)
         if around == BAD:
             first.append(BAD)
-        elif links > LINKS and (around == OPEN or links > 0.9):
+        elif links > LINKS and (around != GOOD or links > 0.9):
             first.append(BAD)
         elif around == GOOD:
             first.append(GOOD)
@@ -274,6 +351,8 @@ def labels(found: list[tuple[str, int, int, bool]]) -> list[int]:
             first.append(GOOD if len(text) > LONG else OPEN)
         else:
             first.append(OPEN if stop >= STOP_LOW else BAD)
+    prose = {b[2] for b, x in zip(found, first, strict=True) if x == GOOD}
+    first = [BAD if b[2] > GOOD and b[2] not in prose else x for b, x in zip(found, first, strict=True)]
     before, after, last = [], [], None
     for i, x in enumerate(first):
         last = i if x else last
