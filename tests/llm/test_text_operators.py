@@ -19,6 +19,7 @@ from wardmill.llm import preferences as P
 from wardmill.llm import quality as Q
 from wardmill.llm import toxicity as X
 from wardmill.llm import url_filter as U
+from wardmill.llm.queries import QUERIES
 
 # --- archives -------------------------------------------------------------------------------------------------------
 
@@ -113,6 +114,15 @@ def test_hosts_rules_and_words(spark, table):
     assert counts == {"rain": 2, "the": 2}
 
 
+def test_words_of_the_whole_page_count(spark, tmp_path):
+    page = "<title>Some title &amp; more</title><style>no</style><nav>Home</nav><article><p>A word on free<b>dom</b> of the <svg><text>no</text></svg>press<br>end</article><script>no()"
+    assert H.whole_text(page).split() == "Some title & more Home A word on freedom of the press end".split() and H.whole_text(None) == ""
+    rows = [(1, "https://freedom-press.org/a", page), (2, "https://spam-farm.org/a", None), (3, "https://freepills.org/", ""), (4, None, page)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r["verdict"] for r in QUERIES["op4_url_words"](spark, str(tmp_path)).collect()}
+    assert got == {1: "allow", 2: "block", 3: "block", 4: "allow"}
+
+
 # --- classifiers ----------------------------------------------------------------------------------------------------
 
 

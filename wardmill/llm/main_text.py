@@ -69,6 +69,7 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/<>]*+)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^>]*)(?:>|\Z)""",
     re.S)
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in (*RAW_TAGS, "svg")}
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title(?=[\s/>])[^>]*>?)?\Z", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _HIDES = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^a-zA-Z]+")
@@ -382,6 +383,38 @@ def main_text(page: str | None) -> str:
     return "\n".join(b[0] for b, label in zip(found, labels(found), strict=True) if label == GOOD)
 
 
+def whole_text(page: str | None) -> str:
+    """Title and text of all elements that show text, boilerplate included."""
+    page = page or ""
+    tokens = _tokens(page)
+    ends = _ends(tokens)
+    parts, at, dropped = [], 0, -1
+    for i, (start, end, tag, _, _) in enumerate(tokens):
+        if i > dropped:
+            parts.append(page[at:start])
+            if not tag:
+                title = _TITLE.match(page, start, end)
+                parts.append(f" {title[1]} " if title else " ")
+            elif tag in BLOCK_TAGS or tag in DROPPED_TAGS or tag == "br":
+                parts.append(" ")
+            dropped = ends.get(i, dropped)
+        at = end
+    parts.append(page[at:])
+    return html.unescape("".join(parts))
+
+
+def whole_texts(pages: DataFrame, *, page: str = "html", name: str = "text") -> DataFrame:
+    """Only ``name``: the whole text of each page."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                texts = [whole_text(x.as_py()).encode("utf-8", "replace").decode() for x in batch.column(0).slice(at, 500)]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, type=pa.string())], names=[name])
+
+    return pages.select(F.col(page).cast("string")).mapInArrow(run, T.StructType([T.StructField(name, T.StringType())]))
+
+
 def with_main_text(pages: DataFrame, *, page: str = "html", name: str = "text") -> DataFrame:
     """All columns and ``name``, the main text; empty for a null, empty or text-free page. An older ``name`` is replaced."""
     pages = pages.drop(name)

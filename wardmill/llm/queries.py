@@ -106,7 +106,7 @@ def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_url_words(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages")
-    counts = url_filter.word_counts(pages, F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1))
+    counts = url_filter.word_counts(main_text.whole_texts(pages), "text")
     found = url_filter.judged(pages.select("page_id", "url"), URL_RULES, url_filter.fit(counts))
     return found.select("page_id", "host", "path", "rule", "verdict")
 
