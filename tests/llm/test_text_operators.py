@@ -123,6 +123,26 @@ def test_words_of_the_whole_page_count(spark, tmp_path):
     assert got == {1: "allow", 2: "block", 3: "block", 4: "allow"}
 
 
+def test_rare_words_stay_in_a_large_table(spark, tmp_path):
+    pages = [(1, "https://freedom-press.org/a", "freedom press " + "the " * 120_000), (2, "https://spam-farm.org/a", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r["page_id"]: r["verdict"] for r in QUERIES["op4_url_words"](spark, str(tmp_path)).collect()} == {1: "allow", 2: "block"}
+
+
+def test_the_table_judges_as_the_model_in_memory(spark, table):
+    rng = random.Random(4)
+    pieces = ["free", "dom", "freedom", "pills", "map", "s", "x", "live", "liver", "pool", "art", "party", "news", "sex", "essex", "the", "é", "qx"]
+    name = lambda: "".join(rng.choice(pieces) for _ in range(rng.randint(1, 5)))
+    urls = [f"https://{name()}.{name()}-{name()}.{rng.choice(['org', 'com', 'net'])}/{rng.choice(['en', 'es', name()])}/{name()}?q={name()}" for _ in range(300)]
+    texts = [(" ".join(rng.choices(["freedom", "liver", "The", "pool", "essex", "map", "party", "maps", "I"], k=40)),), (None,)]
+    counts = U.count_table(spark.createDataFrame(texts, "t string"), "t")
+    model = U.fit({r["word"]: r["n"] for r in counts.collect()})
+    rows = table([(u, "old") for u in [*urls, urls[0], None, "", "no url", "https://a.b/1"]], "url string, host string")
+    kept = ("url", "host", "path", "rule", "verdict")
+    small, large = U.judged(rows, RULES, model).select(*kept).collect(), U.judged_by_table(rows, RULES, counts).select(*kept).collect()
+    assert sorted(map(str, small)) == sorted(map(str, large)) and {r["verdict"] for r in large if r["rule"] is None} == {"block", "allow"}
+
+
 # --- classifiers ----------------------------------------------------------------------------------------------------
 
 

@@ -106,8 +106,8 @@ def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_url_words(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages")
-    counts = url_filter.word_counts(main_text.whole_texts(pages), "text")
-    found = url_filter.judged(pages.select("page_id", "url"), URL_RULES, url_filter.fit(counts))
+    counts = url_filter.count_table(main_text.whole_texts(pages), "text")
+    found = url_filter.judged_by_table(pages.select("page_id", "url"), URL_RULES, counts)
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 

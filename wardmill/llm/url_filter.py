@@ -1,9 +1,10 @@
 """URL filter: rules first, then host word segmentation and multinomial naive Bayes.
 
 Names without separators are cut by a unigram Viterbi search: of all ways to cut, the words with the largest product of
-probabilities. A word outside the table has a probability that falls tenfold with each letter. The table holds word counts
-of a text column, of words that are at least one in ``VOCABULARY`` (which bounds the model's size), and the words of the labelled examples. Naive
-Bayes with add-one smoothing scores the host's words and the path's; words that no example has say nothing.
+probabilities. A word outside the table has a probability that falls tenfold with each letter. The table holds the count of every word
+of a text column and the words of the labelled examples. It stays a distributed table: the names of the urls are cut into all
+their substrings, and those are joined with it. Naive Bayes with add-one smoothing scores the host's words and the path's;
+words that no example has say nothing, so only names that contain an example's word are segmented.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import pyarrow as pa
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmill.llm.shared import stored
+
 VOCABULARY = 50_000
 LONGEST = 24
 PRIOR_BLOCK = 0.2
@@ -76,6 +79,7 @@ class UrlModel:
     log_unknown: float
     ratio: dict[str, float]
     prior: float
+    total: int = 1
 
     def segment(self, name: str) -> tuple[str, ...]:
         """The most probable words of a run of letters."""
@@ -102,30 +106,112 @@ class UrlModel:
         return self.prior + sum(self.ratio.get(w, 0.0) for w in words)
 
 
-def fit(counts: dict[str, int], block: Iterable[str] = BLOCK_EXAMPLES, allow: Iterable[str] = ALLOW_EXAMPLES, prior_block: float = PRIOR_BLOCK) -> UrlModel:
-    """``counts``: of the word table. Example words that it lacks enter with the count of a frequent word."""
+def fit(counts: dict[str, int], block: Iterable[str] = BLOCK_EXAMPLES, allow: Iterable[str] = ALLOW_EXAMPLES, prior_block: float = PRIOR_BLOCK,
+        others: int = 0) -> UrlModel:
+    """``counts``: of the word table. Example words that it lacks enter with the count of a frequent word.
+    ``others``: occurrences of words of two letters and more that are not in ``counts``."""
     bad, fine = Counter(w for x in block for w in x.split()), Counter(w for x in allow for w in x.split())
     known = {*bad, *fine}
     table = Counter({w: n for w, n in counts.items() if len(w) > 1})
-    usual = max(1, sum(table.values()) // 2000)
+    usual = max(1, (sum(table.values()) + others) // 2000)
     for w in known:
         table[w] = max(table[w], usual)
-    total = sum(table.values())
+    total = sum(table.values()) + others
     ratio = {w: math.log((bad[w] + 1) / (bad.total() + len(known))) - math.log((fine[w] + 1) / (fine.total() + len(known))) for w in known}
-    return UrlModel({w: math.log(n / total) for w, n in table.items()}, math.log(10 / total), ratio, math.log(prior_block / (1 - prior_block)))
+    return UrlModel({w: math.log(n / total) for w, n in table.items()}, math.log(10 / total), ratio, math.log(prior_block / (1 - prior_block)), total)
 
 
-def word_counts(rows: DataFrame, text: str | Column, most: int = VOCABULARY) -> dict[str, int]:
-    """Runs of letters of a text column, lower case, that are at least one in ``most`` of all: no more than ``most`` words."""
+def count_table(rows: DataFrame, text: str | Column) -> DataFrame:
+    """``word``, ``n``: runs of letters of a text column, lower case."""
     column = F.col(text) if isinstance(text, str) else text
     words = rows.select(F.explode(F.split(F.lower(column), r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.where(F.col("n") * most >= words.agg(F.count(F.lit(1)).alias("n")).scalar())
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_counts(rows: DataFrame, text: str | Column, most: int = VOCABULARY) -> dict[str, int]:
+    """For small texts: words that are at least one in ``most`` of all, at the driver."""
+    counts = count_table(rows, text)
+    frequent = counts.where(F.col("n") * most >= counts.agg(F.sum("n")).scalar())
     return {r["word"]: r["n"] for r in frequent.collect()}
 
 
+def fit_table(counts: DataFrame, block: Iterable[str] = BLOCK_EXAMPLES, allow: Iterable[str] = ALLOW_EXAMPLES, prior_block: float = PRIOR_BLOCK) -> UrlModel:
+    """The model with the example words alone; one row for each of them and one for all others come to the driver."""
+    block, allow = list(block), list(allow)
+    known = sorted({w for x in (*block, *allow) for w in x.split()})
+    sums = counts.where(F.length("word") > 1).groupBy(F.when(F.col("word").isin(known), F.col("word")).alias("word")).agg(F.sum("n").alias("n"))
+    found = {r["word"]: r["n"] for r in sums.collect()}
+    return fit({w: n for w, n in found.items() if w is not None}, block, allow, prior_block, found.get(None, 0))
+
+
+def _arrow(batch: pa.RecordBatch, names: Iterable[str], columns: Iterable[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+
+
+def name_scores(names: DataFrame, counts: DataFrame, model: UrlModel) -> DataFrame:
+    """``name``, ``score``: what each of the distinct ``name`` adds to the log odds, cut with the counts of all its substrings.
+    Names have two letters or more. ``model``: of ``fit_table``."""
+    size = F.length("name")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), size - 1), lambda at: F.transform(
+        F.sequence(F.lit(2), F.least(F.lit(LONGEST), size - at + 1)), lambda k: F.col("name").substr(at, k))))
+    pieces = names.select("name", F.explode(F.array_distinct(parts)).alias("word"))
+    found = pieces.join(counts, "word", "left").groupBy("name").agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("word", "n"))).alias("counts"))
+    shared = names.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        bayes = shared.value
+        for batch in batches:
+            scores = []
+            for name, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                table = {x["word"]: math.log(x["n"] / bayes.total) for x in own}
+                whole = replace(bayes, log_word=table | bayes.log_word)
+                scores.append(sum(bayes.ratio.get(w, 0.0) for w in whole.segment(name)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["name", "score"])
+
+    return found.mapInArrow(run, "name string, score double")
+
+
+def judged_by_table(rows: DataFrame, rules: Iterable[tuple[str, str]], counts: DataFrame, *, url: str = "url") -> DataFrame:
+    """All columns and ``host``, ``path``, ``rule``, ``verdict``, with the counts of ``count_table``, however many. Older ones of these
+    names are replaced. A url without words is allowed unless a rule blocks it."""
+    new = ("host", "path", "rule", "verdict")
+    rows = rows.drop(*new)
+    counts = stored(counts, "url-words")
+    model = fit_table(counts)
+    shared = rows.sparkSession.sparkContext.broadcast((Rules(rules), [w for w, x in model.ratio.items() if x]))
+    names = "__names"
+
+    def run(batches):
+        found, telling = shared.value
+        tells = re.compile("|".join(map(re.escape, telling)) or r"(?!)").search
+        for batch in batches:
+            out: list[list] = [[] for _ in (*new, names)]
+            for x in batch.column(batch.schema.get_field_index(url)).to_pylist():
+                host, path = host_and_path(x)
+                rule, verdict = found.find(host, path)
+                own = () if verdict else [n for n in _LETTERS.findall(f"{host}/{path}".lower()) if tells(n)]
+                for column, value in zip(out, (host, path, rule, verdict, " ".join(own) or None), strict=True):
+                    column.append(value)
+            yield _arrow(batch, (*new, names), [pa.array(x, pa.string()) for x in out])
+
+    def split(part: DataFrame) -> DataFrame:
+        return part.mapInArrow(run, T.StructType([*part.schema.fields, *(T.StructField(n, T.StringType()) for n in (*new, names))]))
+
+    lists = split(rows.select(url)).where(F.col(names).isNotNull()).select(names).distinct()
+    placed = lists.select(names, F.posexplode(F.split(names, " ")).alias("at", "name"))
+    scores = name_scores(placed.select("name").distinct(), counts, model)
+    ordered = F.array_sort(F.collect_list(F.struct("at", "score")))
+    sums = placed.join(scores, "name").groupBy(names).agg(F.aggregate(ordered, F.lit(model.prior), lambda total, x: total + x["score"]).alias("__score"))
+    whole = split(rows)
+    usual = F.lit("block" if model.prior > 0 else "allow")
+    plain = whole.where(F.col(names).isNull()).withColumn("verdict", F.coalesce("verdict", usual)).drop(names)
+    told = whole.where(F.col(names).isNotNull()).join(sums, names).withColumn("verdict", F.when(F.col("__score") > 0, "block").otherwise("allow"))
+    return plain.unionByName(told.drop(names, "__score"))
+
+
 def judged(rows: DataFrame, rules: Iterable[tuple[str, str]], model: UrlModel, *, url: str = "url") -> DataFrame:
-    """All columns and ``host``, ``path``, ``rule``, ``verdict``, ``score`` (log odds of block), ``words``. Older ones of these names are replaced.
+    """With a model in memory: all columns and ``host``, ``path``, ``rule``, ``verdict``, ``score`` (log odds of block), ``words``. Older ones of
+    these names are replaced.
 
     A url without words is allowed unless a rule blocks it.
     """
@@ -149,6 +235,6 @@ def judged(rows: DataFrame, rules: Iterable[tuple[str, str]], model: UrlModel, *
                 for column, value in zip(out, (host, path, rule, verdict or ("block" if score > 0 else "allow"), score, words), strict=True):
                     column.append(value)
             kinds = [pa.string()] * 4 + [pa.float64(), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out, kinds)], names=[*batch.schema.names, *new])
+            yield _arrow(batch, new, map(pa.array, out, kinds))
 
     return rows.mapInArrow(run, schema)
