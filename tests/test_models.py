@@ -218,3 +218,22 @@ def test_training_is_repeatable(training, model):
                         with_classifier=False, early_stopping=True)
     trees = lambda m: m.regressor.toDebugString.split("\n", 1)[1]
     assert trees(again) == trees(model)
+
+
+def test_snapshot_check_judges_new_weeks_and_exact_sums(spark, monkeypatch):
+    from wardmill.checks import models as K
+
+    score, explain = K.score, K.with_path_contributions
+    late = F.when(F.col("report_date") > "2001-03-31", 1.0)
+
+    def worse_on_new_weeks(*args):
+        return score(*args).withColumn("abs_error", late.otherwise(F.col("abs_error")))
+
+    def nearly(*args):
+        moved = F.transform("contributions", lambda x: F.struct(x["feature"].alias("feature"), (x["value"] + 3e-6).alias("value")))
+        return explain(*args).withColumn("contributions", moved)
+
+    monkeypatch.setattr(K, "score", worse_on_new_weeks)
+    monkeypatch.setattr(K, "with_path_contributions", nearly)
+    got = K.scored_snapshot(K.Tables(spark, "/root/testdata/sf0.001")).select("beats_mean", "adds_up").distinct().collect()
+    assert got == [(False, False)]
