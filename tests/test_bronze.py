@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 from conftest import rows
@@ -88,3 +89,13 @@ def test_snapshot_quarter(spark):
     df = spark.createDataFrame([("20210315",), ("bad",), (None,), ("20210701 00:00",)], "d string")
     assert snapshot_quarter(df, "d").first()["quarter"] == "q1_2021"
     assert snapshot_quarter(df.filter("d = 'bad'"), "d").first()["quarter"] is None
+
+
+def test_vintages_are_the_folders_that_exist(spark, folder):
+    from wardmill.jobs.bronze import vintages
+
+    for name in ("names_2019", "names_2034", "names_old", "old_names_2040", "area_2036"):
+        os.makedirs(f"{folder}/{name}")
+    assert vintages(spark, folder, "names") == [2034, 2019] and vintages(spark, folder, "area") == [2036]
+    with pytest.raises(FileNotFoundError):
+        vintages(spark, folder, "region")

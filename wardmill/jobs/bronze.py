@@ -14,12 +14,18 @@ from wardmill import schemas
 from wardmill.operators.shape import conform, require_columns
 from wardmill.plans.bronze import area_pieces, county_area, county_names, county_region, rural_codes, zip_regions
 from wardmill.plans.params import RunParams
-from wardmill.session import build_session, path_exists
+from wardmill.session import build_session, child_names
 from wardmill.sources.readers import read_latest_vintage
 from wardmill.sources.text_formats import read_delimited, read_json_records, rows_from_json_matrix
 from wardmill.sources.writers import land, land_as_strings
 
-VINTAGES = tuple(range(2030, 2018, -1))
+
+def vintages(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Years of the landed folders ``name_YEAR``, the newest first."""
+    found = sorted((int(y) for x in child_names(spark, root) for n, _, y in [x.rpartition("_")] if n == name and y.isdecimal()), reverse=True)
+    if not found:
+        raise FileNotFoundError(f"no vintage of {name} under {root}")
+    return found
 
 
 def run_facility(spark: SparkSession, params: RunParams, landed: str, bronze: str) -> None:
@@ -38,12 +44,12 @@ def run_utilization(spark: SparkSession, params: RunParams, landed: str, bronze:
 def run_geography(spark: SparkSession, params: RunParams, landed: str, bronze: str) -> None:
     """County names, areas and regions of their newest vintages."""
     day, root = params.run_date, f"{landed}/geography"
-    bodies = read_latest_vintage(spark, f"{root}/names_{{}}", VINTAGES, lambda p: spark.read.text(p, wholetext=True), "vintage")
-    vintage = next(v for v in VINTAGES if path_exists(spark, f"{root}/names_{v}"))
+    bodies = read_latest_vintage(spark, f"{root}/names_{{}}", vintages(spark, root, "names"), lambda p: spark.read.text(p, wholetext=True), "vintage")
+    vintage = vintages(spark, root, "names")[0]
     land(county_names(rows_from_json_matrix(bodies, "value"), vintage), f"{bronze}/geography/names/{day}")
-    vintage = next(v for v in VINTAGES if path_exists(spark, f"{root}/area_{v}"))
+    vintage = vintages(spark, root, "area")[0]
     land(county_area(read_delimited(spark, f"{root}/area_{vintage}", "\t"), vintage), f"{bronze}/geography/area/{day}")
-    vintage = next(v for v in VINTAGES if path_exists(spark, f"{root}/region_{v}"))
+    vintage = vintages(spark, root, "region")[0]
     regions = zip_regions(read_delimited(spark, f"{root}/region_{vintage}"), str(vintage))
     pieces = area_pieces(read_delimited(spark, f"{root}/pieces", "|"))
     land(county_region(pieces, regions).withColumn("exec_date", F.lit(day)), f"{bronze}/geography/region/{day}")

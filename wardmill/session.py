@@ -61,6 +61,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, hadoop_path = _filesystem(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _filesystem(spark, path)
     fs.delete(hadoop_path, True)
