@@ -188,6 +188,15 @@ def test_swapping_identity_terms_removes_their_weight():
     assert gap[5.0][0] < 0.3 * gap[0.0][0] and gap[5.0][1] < 0.5
 
 
+def test_swaps_take_every_term_whatever_the_seed():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["muslim said a", "christian said b"]), "label": pa.array([1, 0], pa.int32())})
+    columns = pa.Table.from_batches(list(X._features("text", X.IDENTITY, X.SIZES, 14)([batch])))
+    buckets, bounds = X.gathered(columns.column("buckets"))
+    mentions = [np.array(m, dtype=np.int64) for m in columns.column("mentions").to_pylist()]
+    one, two = (X.fit(np.array([1, 0]), buckets.astype(np.int64), bounds, mentions, bits=14, epochs=3, seed=s).weights for s in (1, 2))
+    assert np.any(one) and np.allclose(one, two)
+
+
 def test_quality_learns_words_pairs_and_runs(spark, table):
     rng = random.Random(4)
     docs, labels = [], []

@@ -135,11 +135,12 @@ def fit(labels: np.ndarray, buckets: np.ndarray, bounds: np.ndarray, mentions: l
             for i in batch:                    # the change that a swap makes: the new term's features less the old one's
                 for term in mentions[i]:
                     others = [t for t in range(len(terms)) if group[t] == group[term] and t != term]
-                    for other in (*rng.choice(others, min(3, len(others)), replace=False), None):
+                    for other in (*others, None):       # the other terms of a set together weigh as much as three
                         new = of_term[other] if other is not None else of_term[term][:0]
                         change = w[new].sum() - w[of_term[term]].sum()
-                        np.add.at(slope, new, 2 * swap_weight * change / len(batch))
-                        np.add.at(slope, of_term[term], -2 * swap_weight * change / len(batch))
+                        pull = 2 * swap_weight * change / len(batch) * (min(3, len(others)) / len(others) if other is not None else 1)
+                        np.add.at(slope, new, pull)
+                        np.add.at(slope, of_term[term], -pull)
             seen += slope * slope
             step = rate / np.sqrt(seen)
             w -= step * slope
