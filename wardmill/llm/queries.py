@@ -12,13 +12,16 @@ from wardmill.llm import (
     arc_to_warc,
     decontaminate,
     embedding_dedup,
+    language,
     main_text,
+    merkle,
     mixing,
     preferences,
     quality,
     toxicity,
     url_filter,
     weighted_minhash,
+    whitening,
 )
 from wardmill.llm.shared import importable_in_tasks
 
@@ -125,6 +128,35 @@ def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@_query
+def op11_subword_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    found = language.with_language(docs.select("doc_id", "text"), language.train(docs, use=~out))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query
+def op12_midstate_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = merkle.leaf_digest(*own[:3], F.try_add("n_chars", F.lit(1)), own[4])
+    leaves = docs.select(merkle.group_key(F.col("lang")).alias("grp"), F.col("doc_id").alias("id"), merkle.leaf_digest(*own).alias("digest"),
+                         F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, tampered).alias("replaced"))
+    found = merkle.manifest(leaves)
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return found.select(F.col("id").alias("doc_id"), text("leaf"), text("subroot"), text("root"), F.sha2("proof", 256).alias("proof_sha256"),
+                        text("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@_query
+def op13_secular_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    error = None if model is None else whitening.identity_error(vectors, model)
+    return whitening.whitened_rows(vectors, model).withColumnRenamed("id", "vec_id").withColumn("identity_error", F.lit(error).cast("double"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -192,3 +224,32 @@ SELECT chosen_id, rejected_id, n_common, COALESCE(x.prompt, '') AS prompt, COALE
   COALESCE(x.spans, '') AS chosen_spans, COALESCE(y.spans, '') AS rejected_spans
 FROM p JOIN n USING (chosen_id) JOIN x USING (chosen_id) JOIN y USING (chosen_id)
 """
+
+#: The subquery ``crc`` is the CRC-32 of an id's digits, bit by bit.
+SQL["op12_midstate_manifest"] = """
+WITH RECURSIVE d AS (SELECT doc_id, lang, n_chars, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+crc AS (SELECT doc_id, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) AS left_over FROM (SELECT DISTINCT doc_id FROM documents)),
+h AS (SELECT d.doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN xor(left_over, 4294967295) % 7 = 0 THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS changed
+  FROM d LEFT JOIN crc ON crc.doc_id = d.doc_id),
+g AS (SELECT lang, ROW_NUMBER() OVER (ORDER BY lang NULLS FIRST) AS grp FROM (SELECT DISTINCT lang FROM d)),
+l AS (SELECT h.*, grp, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, COUNT(*) OVER (PARTITION BY grp) AS n
+  FROM h JOIN g ON g.lang IS NOT DISTINCT FROM h.lang),
+t AS (SELECT 0 AS level, grp, pos, n, leaf AS node FROM l
+  UNION ALL SELECT level + 1, grp, pos // 2, (MIN(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY level, grp, pos // 2),
+s AS (SELECT grp, node AS subroot, MAX(grp) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, 0 AS grp, grp - 1 AS pos, n, subroot AS node FROM s
+  UNION ALL SELECT level + 1, 0, pos // 2, (MIN(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 2),
+f AS (SELECT doc_id, leaf, grp, 0 AS level, pos, n, coalesce(changed, leaf) AS value, '' AS proof FROM l
+  UNION ALL SELECT f.doc_id, f.leaf, f.grp, f.level + 1, f.pos // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.pos % 2 = 1 THEN t.node || value ELSE value || coalesce(t.node, '') END), proof || coalesce(t.node, '')
+  FROM f LEFT JOIN t ON t.grp = f.grp AND t.level = f.level AND t.pos = xor(f.pos, 1) WHERE f.n > 1),
+e AS (SELECT f.doc_id, leaf, f.grp, subroot, 0 AS level, f.grp - 1 AS pos, s.n, value, proof FROM f JOIN s USING (grp) WHERE f.n = 1
+  UNION ALL SELECT e.doc_id, leaf, e.grp, subroot, e.level + 1, e.pos // 2, (e.n + 1) // 2,
+    sha256(CASE WHEN e.pos % 2 = 1 THEN u.node || value ELSE value || coalesce(u.node, '') END), proof || coalesce(u.node, '')
+  FROM e LEFT JOIN u ON u.level = e.level AND u.pos = xor(e.pos, 1) WHERE e.n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, value AS folded_root, value = root AS verified
+FROM e CROSS JOIN (SELECT node AS root FROM u WHERE n = 1) r WHERE e.n = 1
+"""
