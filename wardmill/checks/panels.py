@@ -16,11 +16,14 @@ from wardmill.operators.ordered import rank_within
 from wardmill.operators.shape import stack
 from wardmill.plans import serving as SV
 from wardmill.plans.dimensions import dim_date_of
+from wardmill.plans.fact import with_rates
+from wardmill.plans.feature_refresh import Dimensions, note_changes, refresh_features
 from wardmill.plans.features import (
     CALENDAR,
     CALENDAR_FLAGS,
     CALENDAR_LABELS,
     CHANGE,
+    FEATURE_COLUMNS,
     GEOGRAPHY,
     LABEL,
     LAGS,
@@ -28,8 +31,11 @@ from wardmill.plans.features import (
     POPULATION,
     ROLLING,
     TARGET,
+    facility_attributes,
     feature_weekly,
 )
+from wardmill.session import staging_path
+from wardmill.sources import writers as W
 
 c = F.col
 
@@ -195,6 +201,31 @@ def feature_store(t: Tables) -> DataFrame:
     return features(t).withColumns({n: F.round(n, 6) for n in (*LEVELS, *windows, CHANGE, TARGET)})
 
 
+_LATE = """collection_week BETWEEN DATE '1997-03-03' AND DATE '1997-03-24' AND
+  (CAST(hospital_id AS BIGINT) + day(collection_week)) % 3"""
+
+
+@check("B13 W07 W08 W09 I03", oracle(_feature_sql().replace("FROM v_fact LEFT", "FROM late_fact LEFT").replace("WITH base AS (", f"""
+WITH late_fact AS (SELECT * REPLACE (CASE WHEN {_LATE} = 2 THEN 0 ELSE inpatient_beds_capacity END AS inpatient_beds_capacity) FROM v_fact),
+base AS (""", 1), "v_fact", "v_calendar", "v_hospitals", "v_population", "v_geography"))
+def feature_store_after_late_rows(t: Tables) -> DataFrame:
+    """Built while rows of four weeks are missing or wrong; then these are merged late, others withdrawn, and only their reach is recomputed."""
+    root, day = staging_path(t.spark, "late-rows"), "2030-01-01"
+    late = lambda k: F.expr(f"{_LATE} = {k}")
+    truth = V.fact(t)
+    before = truth.filter(~late(0)).withColumn("inpatient_beds_used", F.when(late(1), c("inpatient_beds_used") / 2).otherwise(c("inpatient_beds_used")))
+    W.overwrite_partition(with_rates(before), f"{root}/fact", ["collection_week"])
+    dimensions = Dimensions(dim_date_of(t.lineitem, "l_shipdate"), facility_attributes(V.hospitals(t), V.population(t), V.geography(t)))
+    refresh_features(t.spark, f"{root}/features", f"{root}/fact", dimensions, day)
+    batch = truth.filter(late(0) | late(1) | late(2)).withColumn("inpatient_beds_capacity", F.when(late(2), 0.0).otherwise(c("inpatient_beds_capacity")))
+    note_changes(t.spark, f"{root}/features", batch)
+    W.upsert_partitions(t.spark, f"{root}/fact", batch, ["hospital_id", "collection_week"], "collection_week")
+    refresh_features(t.spark, f"{root}/features", f"{root}/fact", dimensions, day)
+    windows = [a for items in (*LAGS.values(), *ROLLING.values()) for _, a in items]
+    built = t.spark.read.parquet(f"{root}/features").select(*FEATURE_COLUMNS)
+    return built.withColumns({n: F.round(n, 6) for n in (*LEVELS, *windows, CHANGE, TARGET)})
+
+
 # --- prediction tables ---------------------------------------------------------------------
 
 

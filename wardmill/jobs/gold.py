@@ -14,11 +14,12 @@ from wardmill.operators.incremental import merge_upsert
 from wardmill.operators.quality import assert_not_null, assert_rule, assert_unique, enforce_none, utilization_assertion
 from wardmill.plans.dimensions import dim_date, dim_geography, dim_hospital, dim_population
 from wardmill.plans.fact import FACT_KEYS, stage_fact
-from wardmill.plans.features import feature_weekly
+from wardmill.plans.feature_refresh import Dimensions, note_changes, refresh_features
+from wardmill.plans.features import facility_attributes
 from wardmill.plans.params import RunParams
 from wardmill.session import build_session, path_exists
 from wardmill.sources.readers import read_external, with_source_path
-from wardmill.sources.writers import replace_table, upsert_partitions, write_table
+from wardmill.sources.writers import upsert_partitions, write_table
 
 ROUTED = ("route", "exec_date")
 
@@ -32,12 +33,13 @@ def merge_dimension(spark: SparkSession, path: str, source: DataFrame, keys: lis
     """Upsert an unpartitioned dimension; the merged table is complete before the old one goes."""
     if path_exists(spark, path):
         source = merge_upsert(spark.read.schema(source.schema).parquet(path), source, keys)
-    replace_table(source, path)
+    write_table(source, path)
 
 
 def run(spark: SparkSession, params: RunParams, silver: str, gold: str) -> None:
     day = params.run_date
-    write_table(dim_date(spark), f"{gold}/dim_date", cluster=["year", "month"])
+    last = max("2030-12-31", f"{int(day[:4]) + 1}-12-31")
+    write_table(dim_date(spark, end=last), f"{gold}/dim_date", cluster=["year", "month"])
     geography = dim_geography(
         keep_latest(_routed(spark, silver, "geography", schemas.EXT_GEOGRAPHY, day), ["county_fips"],
                     "source_file_path"), day
@@ -47,7 +49,9 @@ def run(spark: SparkSession, params: RunParams, silver: str, gold: str) -> None:
     write_table(hospitals, f"{gold}/dim_hospital", cluster=["county_fips", "state"])
     population = dim_population(_routed(spark, silver, "population", schemas.EXT_POPULATION, day))
     write_table(population, f"{gold}/dim_population", cluster=["county_fips"])
+    features = f"{gold}/feature_weekly"
     staged = keep_latest(stage_fact(spark.read.parquet(f"{silver}/weekly"), day), list(FACT_KEYS), "dwh_updated_at")
+    note_changes(spark, features, staged)
     upsert_partitions(
         spark, f"{gold}/fact_utilization", staged, list(FACT_KEYS), "collection_week",
         since=params.days_back(MERGE_DAYS), cluster=["hospital_id"],
@@ -62,12 +66,9 @@ def run(spark: SparkSession, params: RunParams, silver: str, gold: str) -> None:
         "facilities repeated": assert_unique(hospitals, ["hospital_id"]),
         "counties repeated": assert_unique(geography, ["county_fips"]),
     })
-    features = feature_weekly(
-        spark.read.parquet(f"{gold}/fact_utilization"),
-        *[spark.read.parquet(f"{gold}/{n}") for n in ("dim_date", "dim_hospital", "dim_population", "dim_geography")],
-        start=PANEL_START, end=day, as_of=day,
-    ).withColumn("report_year", F.year("report_date"))
-    write_table(features, f"{gold}/feature_weekly", ["report_year"], ["hospital_id", "state"])
+    read = {n: spark.read.parquet(f"{gold}/{n}") for n in ("dim_date", "dim_hospital", "dim_population", "dim_geography")}
+    attributes = facility_attributes(read["dim_hospital"], read["dim_population"], read["dim_geography"])
+    refresh_features(spark, features, f"{gold}/fact_utilization", Dimensions(read["dim_date"], attributes), day, PANEL_START)
 
 
 def main() -> None:

@@ -161,7 +161,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = build_session("score")
     params = RunParams(args.run_date, args.lookback_days, dry_run=args.dry_run)
-    features = spark.read.parquet(f"{args.gold}/feature_weekly").drop("report_year")
+    features = spark.read.parquet(f"{args.gold}/feature_weekly")
     hospitals = spark.read.parquet(f"{args.gold}/dim_hospital")
     settings = {PRIMARY_MODEL: BoostingParams(), "LightGBM": BoostingParams(minInstancesPerNode=20)}
     train(spark, features, params, args.out, settings)

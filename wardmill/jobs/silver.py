@@ -19,7 +19,7 @@ from wardmill.plans.params import RunParams
 from wardmill.plans.silver import silver_facility, silver_geography, silver_population, silver_utilization
 from wardmill.session import build_session
 from wardmill.sources.readers import read_external, read_glob, with_lineage, with_source_path
-from wardmill.sources.writers import SplitCounts, append_quality_log, quality_row, replace_table, upsert_partitions, write_split
+from wardmill.sources.writers import SplitCounts, append_quality_log, quality_row, upsert_partitions, write_split, write_table
 
 
 def run_utilization(spark: SparkSession, params: RunParams, bronze: str, silver: str) -> dict[str, SplitCounts]:
@@ -38,7 +38,7 @@ def run_utilization(spark: SparkSession, params: RunParams, bronze: str, silver:
     counts = {name: write_split(df, silver, name, day) for name, df in batches.items()}
     if counts["facility"].clean_rows:
         clean = spark.read.parquet(f"{silver}/facility/route=silver/exec_date={day}")
-        replace_table(hospital_source(clean), f"{silver}/hospital/route=silver/exec_date={day}")
+        write_table(hospital_source(clean), f"{silver}/hospital/route=silver/exec_date={day}")
     if counts["utilization"].clean_rows:
         clean = spark.read.parquet(f"{silver}/utilization/route=silver/exec_date={day}")
         upsert_partitions(spark, f"{silver}/weekly", weekly_source(clean), list(FACT_KEYS), "collection_week")

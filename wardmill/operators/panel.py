@@ -16,8 +16,8 @@ from wardmill.constants import PERSISTENT_OVERLOAD, PERSISTENT_WEEKS
 from wardmill.functions.measures import safe_div
 
 
-def panel_window(entity: str, date: str) -> WindowSpec:
-    return Window.partitionBy(entity).orderBy(date)
+def panel_window(entity: str | Sequence[str], date: str) -> WindowSpec:
+    return Window.partitionBy(*([entity] if isinstance(entity, str) else entity)).orderBy(date)
 
 
 def add_lags(df: DataFrame, spec: Mapping[str, Sequence[tuple[int, str]]], w: WindowSpec) -> DataFrame:

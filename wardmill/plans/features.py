@@ -8,6 +8,8 @@ is not moved again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,7 @@ ROLLING = {
 CHANGE = "occ_wow_pct_change"
 TARGET = "target_occupancy_next_week"
 LABEL = "target_high_strain"
+REQUIRED = (TARGET, "occ_lag4", "occupancy_rate")
 CALENDAR = ("week_number", "month", "quarter", "year", "season")
 CALENDAR_FLAGS = ("is_holiday", "is_flu_season")
 CALENDAR_LABELS = ("disease_season", "healthcare_risk_level", "week_of_month")
@@ -98,9 +101,9 @@ def base_panel(fact: DataFrame, dates: DataFrame, start: str | None = None, end:
     return levels.join(calendar, ["report_date"], "left")
 
 
-def with_history(panel: DataFrame) -> DataFrame:
+def with_history(panel: DataFrame, entity: str | Sequence[str] = "hospital_id") -> DataFrame:
     """Lags, rolling means, relative change and next-week target, all over one window."""
-    w = panel_window("hospital_id", "report_date")
+    w = panel_window(entity, "report_date")
     df = add_rolling(add_lags(panel, LAGS, w), ROLLING, w)
     return add_next(add_change(df, "occupancy_rate", CHANGE, w), "occupancy_rate", TARGET, w)
 
@@ -134,9 +137,13 @@ def feature_weekly(
     panel = base_panel(fact, dates, start, end or as_of)
     if strict_calendar:
         panel = densify_weeks(panel, "hospital_id", "report_date")
-    rows = complete_rows(with_history(panel), [TARGET, "occ_lag4", "occupancy_rate"])
-    joined = rows.join(facility_attributes(hospitals, population, geography), ["hospital_id"], "left")
-    labelled = joined.withColumn(LABEL, high_strain(F.col(TARGET)))
+    return feature_rows(with_history(panel), facility_attributes(hospitals, population, geography), as_of)
+
+
+def feature_rows(history: DataFrame, attributes: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Complete rows of the panel with its windows, labelled and joined with their facility's attributes."""
+    rows = complete_rows(history, REQUIRED)
+    labelled = rows.join(attributes, ["hospital_id"], "left").withColumn(LABEL, high_strain(F.col(TARGET)))
     columns = list(FEATURE_COLUMNS)
     if as_of is not None:
         labelled = labelled.withColumn("feature_computed_at", F.lit(as_of).cast("timestamp"))

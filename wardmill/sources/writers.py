@@ -52,13 +52,18 @@ def overwrite_partition(
 
 
 def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), cluster: Sequence[str] = ()) -> None:
-    """Full refresh."""
-    writer = laid_out(df, partitions, cluster).write.mode("overwrite").option("compression", "snappy")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    """Full refresh of a table that ``df`` may read: the new one is complete before the old one goes."""
+    staged = sibling_path(path, "table")
+    writer = laid_out(df, partitions, cluster).write.option("compression", "snappy")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(staged)
+    replace_folder(df.sparkSession, staged, path)
 
 
 def land(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    """A landed batch as it comes, complete before an earlier one of its place goes."""
+    staged = sibling_path(path, "land")
+    df.write.option("compression", "snappy").parquet(staged)
+    replace_folder(df.sparkSession, staged, path)
 
 
 def land_as_strings(df: DataFrame, path: str) -> None:
@@ -188,13 +193,6 @@ def append_newer(batch: DataFrame, path: str, column: str, cluster: Sequence[str
     return n
 
 
-def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
-    """Full refresh of a table that ``df`` may read: the new one is complete before the old one goes."""
-    staged = sibling_path(path, "table")
-    laid_out(df, (), cluster).write.option("compression", "snappy").parquet(staged)
-    replace_folder(df.sparkSession, staged, path)
-
-
 def touched_partitions(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
     """Target rows of the partitions that occur in the source.
 
@@ -240,6 +238,32 @@ def upsert_partitions(
     delete_path(spark, staged_source)
 
 
+def replace_keys(
+    spark: SparkSession, path: str, keys: DataFrame, rows: DataFrame, partition: str, cluster: Sequence[str] = (),
+) -> list[str]:
+    """Delete the rows of ``keys``, insert ``rows`` (of such keys), and rewrite only the partitions that the keys name.
+
+    ``keys`` holds the key columns, the partition column (a date) among them. The new partitions are complete in a folder of
+    their own before the first one takes its place; a partition without rows left goes. Returns the partitions' values.
+    """
+    values = sorted(str(r[0]) for r in keys.select(F.col(partition).cast("string")).distinct().collect())
+    if not values:
+        return []
+    target = spark.read.schema(rows.schema).parquet(path).filter(F.col(partition).isin([date.fromisoformat(v) for v in values]))
+    kept = target.join(keys.distinct(), keys.columns, "left_anti").select(*rows.columns)
+    staged = sibling_path(path, "keys")
+    laid_out(kept.unionByName(rows), [partition], cluster).write.partitionBy(partition).parquet(staged)
+    written = subfolders(spark, staged)
+    for value in values:
+        name = f"{partition}={value}"
+        if name in written:
+            replace_folder(spark, f"{staged}/{name}", f"{path}/{name}")
+        else:
+            delete_path(spark, f"{path}/{name}")
+    delete_path(spark, staged)
+    return values
+
+
 def write_splits(df: DataFrame, path: str, columns: Sequence[str], keep: Sequence[str]) -> None:
     """Model rows with identity, targets and split name; one table partitioned by split."""
     overwrite_partition(keep_existing(df, list(dict.fromkeys([*columns, *keep, "split"]))), path, ["split"])
