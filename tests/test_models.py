@@ -223,7 +223,7 @@ def test_training_is_repeatable(training, model):
 def test_snapshot_check_judges_new_weeks_and_exact_sums(spark, monkeypatch):
     from wardmill.checks import models as K
 
-    score, explain = K.score, K.with_path_contributions
+    score, explain = K.score, K.with_shapley_contributions
     late = F.when(F.col("report_date") > "2001-03-31", 1.0)
 
     def worse_on_new_weeks(*args):
@@ -234,6 +234,6 @@ def test_snapshot_check_judges_new_weeks_and_exact_sums(spark, monkeypatch):
         return explain(*args).withColumn("contributions", moved)
 
     monkeypatch.setattr(K, "score", worse_on_new_weeks)
-    monkeypatch.setattr(K, "with_path_contributions", nearly)
+    monkeypatch.setattr(K, "with_shapley_contributions", nearly)
     got = K.scored_snapshot(K.Tables(spark, "/root/testdata/sf0.001")).select("beats_mean", "adds_up").distinct().collect()
     assert got == [(False, False)]

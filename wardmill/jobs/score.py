@@ -32,7 +32,7 @@ from wardmill.operators.quality import (
     validate_panel,
 )
 from wardmill.operators.shape import conform, require_features, stack
-from wardmill.plans.explain import with_path_contributions
+from wardmill.plans.explain import with_shapley_contributions
 from wardmill.plans.features import LABEL, TARGET
 from wardmill.plans.models import BoostingParams, CapacityModel, load_model, save_model, score, train_model
 from wardmill.plans.params import RunParams
@@ -121,7 +121,7 @@ def publish(
     snapshot = latest_snapshot(features, "hospital_id", "report_date", day, params.lookback_days)
     parts = []
     for model in models.values():
-        scored = with_path_contributions(score(model, snapshot, day), model.regressor, model.features)
+        scored = with_shapley_contributions(score(model, snapshot, day), model.regressor, model.features)
         parts.append(conform(
             top_contributions(scored).withColumn("predicted_at", F.lit(day).cast("timestamp")), ddl
         ))
