@@ -50,6 +50,6 @@ def check(covers: str, sql: str | None = None) -> Callable:
 
 
 def load_all() -> dict[str, Check]:
-    from wardmill.checks import columns, files, models, panels, quality, reports, tables  # noqa: F401
+    from wardmill.checks import columns, files, malformed, models, panels, quality, reports, tables  # noqa: F401
 
     return CHECKS

@@ -18,17 +18,16 @@ from wardmill.plans.fact import FACT_KEYS
 from wardmill.plans.params import RunParams
 from wardmill.plans.silver import silver_facility, silver_geography, silver_population, silver_utilization
 from wardmill.session import build_session
-from wardmill.sources.readers import read_external, read_glob, with_lineage, with_source_path
+from wardmill.sources.readers import landed_folder, read_external, read_glob, with_lineage, with_source_path
 from wardmill.sources.writers import SplitCounts, append_quality_log, quality_row, upsert_partitions, write_split, write_table
 
 
 def run_utilization(spark: SparkSession, params: RunParams, bronze: str, silver: str) -> dict[str, SplitCounts]:
     day = params.run_date
-    facility = with_lineage(
-        read_glob(spark, f"{bronze}/facility", "*.parquet", schemas.BRONZE_FACILITY), "facility", day
-    )
-    usage = with_lineage(
-        read_glob(spark, f"{bronze}/utilization", "*.parquet", schemas.BRONZE_UTILIZATION), "utilization", day
+    # One landed batch of each source, not their history: the merges below and the dimensions keep what earlier ones brought.
+    facility, usage = (
+        with_lineage(read_glob(spark, landed_folder(spark, f"{bronze}/{name}", day), "*.parquet", ddl), name, day)
+        for name, ddl in (("facility", schemas.BRONZE_FACILITY), ("utilization", schemas.BRONZE_UTILIZATION))
     )
     newest = [F.col("_path").desc()]        # of several files the newest path decides, then content
     batches = {

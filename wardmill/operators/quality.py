@@ -199,10 +199,18 @@ def reconcile(
 # --- actions: they read one small row and raise ---------------------------------
 
 
+class TooManyBadRows(RuntimeError):
+    """A batch was stopped: ``bad`` of ``total`` rows."""
+
+    def __init__(self, total: int, bad: int, limit: float):
+        super().__init__(f"{bad} of {total} rows failed the quality gate (limit {limit:.0%}); nothing was written")
+        self.total, self.bad = total, bad
+
+
 def enforce_max_bad_rate(stats: Row | Mapping[str, object], limit: float = K.MAX_BAD_RATE) -> None:
     total, bad = int(stats["total_rows"]), int(stats["quarantine_rows"])
     if total and bad / total > limit:
-        raise RuntimeError(f"{bad} of {total} rows failed the quality gate (limit {limit:.0%}); nothing was written")
+        raise TooManyBadRows(total, bad, limit)
 
 
 def enforce_min_rows(counts: Mapping[str, int], minimum: int) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wardmill.operators.shape import stack
-from wardmill.session import path_exists
+from wardmill.session import child_names, path_exists
 
 
 def _schema(schema: str | StructType) -> StructType:
@@ -28,6 +28,16 @@ def read_glob(spark: SparkSession, root: str, pattern: str, schema: str | Struct
     return spark.read.schema(_schema(schema)).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).parquet(root)
 
 
+def landed_folder(spark: SparkSession, root: str, exec_date: str) -> str:
+    """The newest dated folder up to the date; ``root`` itself where nothing lies in dated folders."""
+    dated = [n for n in child_names(spark, root) if len(n) == 10 and n[4] == n[7] == "-" and n.replace("-", "").isdecimal()]
+    if not dated:
+        return root
+    if min(dated) > exec_date:
+        raise FileNotFoundError(f"nothing landed under {root} up to {exec_date}")
+    return f"{root}/{max(n for n in dated if n <= exec_date)}"
+
+
 def with_lineage(df: DataFrame, source: str, as_of: str) -> DataFrame:
     return df.withColumns({"_source_file": F.lit(source), "_ingested_at": F.lit(as_of).cast("timestamp")})
 

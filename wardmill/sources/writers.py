@@ -12,11 +12,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill.operators.incremental import merge_upsert, newer_than_target
-from wardmill.operators.quality import assert_unique, enforce_max_bad_rate, enforce_min_rows, enforce_not_null, quarantine_stats
+from wardmill.operators.quality import TooManyBadRows, assert_unique, enforce_max_bad_rate, enforce_min_rows, enforce_not_null
 from wardmill.operators.shape import keep_existing
 from wardmill.schemas import QUALITY_LOG
 from wardmill.session import delete_path, path_exists, replace_folder, sibling_path, staging_path, subfolders
@@ -82,6 +82,24 @@ class SplitCounts:
         return self.quarantine_rows / self.total_rows if self.total_rows else 0.0
 
 
+def _split(df: DataFrame, staged: str, cluster: Sequence[str], required: Sequence[str] = ()) -> tuple[SplitCounts, int]:
+    """Writes good and bad rows to two folders in one job, and counts them as they are written; also good rows with all of ``required``.
+
+    The counts are observed in the tasks that write, after the last exchange: a task that is repeated because its executor
+    was lost counts once, as its files do.
+    """
+    seen = Observation()
+    bad = F.coalesce(F.col("_has_violation"), F.lit(False))
+    routed = df.withColumn("route", F.when(bad, F.lit(QUARANTINE)).otherwise(F.lit(SILVER))).hint("rebalance", F.col("route"))
+    whole = F.col("route") == SILVER
+    for n in required:
+        whole = whole & F.col(n).isNotNull()
+    counted = routed.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(F.col("route") == QUARANTINE).alias("bad"), F.count_if(whole).alias("whole"))
+    counted.sortWithinPartitions("route", *cluster).write.partitionBy("route").parquet(staged)
+    found = seen.get
+    return SplitCounts(found["total"], found["total"] - found["bad"], found["bad"]), found["whole"]
+
+
 def write_split(
     df: DataFrame, base: str, source: str, exec_date: str, max_bad_rate: float | None = None,
     cluster: Sequence[str] = (),
@@ -89,36 +107,66 @@ def write_split(
     """Good and bad rows of one batch in a single pass, routed by a partition column.
 
     ``base/source/route=silver|quarantine/exec_date=...``. The batch is computed
-    once, into a folder of its own, and counted there; only then do its two
+    once, into a folder of its own, and counted while it is written; only then do its two
     routes take the place of the date's earlier ones. A route without rows
-    leaves none behind, so a rerun holds exactly the new batch. With
-    ``max_bad_rate`` a count runs first (it needs only the rule columns) and
-    stops the batch before anything is written.
+    leaves none behind, so a rerun holds exactly the new batch. A batch with a larger part of
+    bad rows than ``max_bad_rate`` is thrown away and stops the run; the table is as it was.
     """
     spark = df.sparkSession
-    if max_bad_rate is not None:
-        enforce_max_bad_rate(quarantine_stats(df).first(), max_bad_rate)
     target = f"{base}/{source}"
     staged = sibling_path(target, "split")
     bad = F.col("_has_violation")
-    routed = df.withColumns({
+    counts, _ = _split(df.withColumns({
         "_quarantine_source": F.when(bad, F.lit(source)),
         "_quarantine_date": F.when(bad, F.lit(exec_date)),
-        "route": F.when(bad, F.lit(QUARANTINE)).otherwise(F.lit(SILVER)),
-    })
-    laid_out(routed, ["route"], cluster).write.partitionBy("route").parquet(staged)
+    }), staged, cluster)
+    _gate(spark, counts, max_bad_rate, staged)
     written = subfolders(spark, staged)
-    counts = {}
     for route in (SILVER, QUARANTINE):
         place = f"{target}/route={route}/exec_date={exec_date}"
         if f"route={route}" in written:
-            counts[route] = spark.read.parquet(f"{staged}/route={route}").count()
             replace_folder(spark, f"{staged}/route={route}", place)
         else:
             delete_path(spark, place)
     delete_path(spark, staged)
-    clean, broken = counts.get(SILVER, 0), counts.get(QUARANTINE, 0)
-    return SplitCounts(clean + broken, clean, broken)
+    return counts
+
+
+def _gate(spark: SparkSession, counts: SplitCounts, max_bad_rate: float | None, staged: str) -> None:
+    if max_bad_rate is None:
+        return
+    try:
+        enforce_max_bad_rate({"total_rows": counts.total_rows, "quarantine_rows": counts.quarantine_rows}, max_bad_rate)
+    except TooManyBadRows:
+        delete_path(spark, staged)
+        raise
+
+
+def land_checked(
+    records: DataFrame, path: str, malformed: str, max_bad_rate: float | None = None, required: Sequence[str] = (),
+) -> SplitCounts:
+    """Records of ``sources.checked`` in one pass: good ones to ``path``, bad ones, with text, reason and place, to ``malformed``.
+
+    Good records keep the check's columns, all NULL but their place, so that the folder is written once; readers name the
+    columns they want. Both places hold this batch only afterwards, also where it has no rows for one. If no good record has all
+    the ``required`` columns, the batch does not have the agreed form and stops.
+    """
+    spark = records.sparkSession
+    staged = sibling_path(path, "checked")
+    bad = F.col("_has_violation")
+    counts, whole = _split(records.withColumn("_record", F.when(bad, F.col("_record"))), staged, (), required)
+    _gate(spark, counts, max_bad_rate, staged)
+    if counts.clean_rows and not whole:
+        delete_path(spark, staged)
+        raise ValueError(f"none of {counts.clean_rows} records has all of {list(required)}")
+    written = subfolders(spark, staged)
+    for route, place in ((SILVER, path), (QUARANTINE, malformed)):
+        if f"route={route}" in written:
+            replace_folder(spark, f"{staged}/route={route}", place)
+        else:
+            land(spark.createDataFrame([], records.schema), place)
+    delete_path(spark, staged)
+    return counts
 
 
 def quality_row(source: str, exec_date: str, counts: SplitCounts, logged_at: datetime | None = None) -> tuple:
