@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime
 import glob
 import json
 import os
@@ -205,3 +206,14 @@ def test_merged_partitions_survive_a_failed_overwrite(spark, folder, monkeypatch
     with pytest.raises(OSError):
         W.upsert_partitions(spark, path, frame(spark, ("b", 2, "01")), ["k", "d"], "d")
     assert rows(spark.read.parquet(*kept[0])) == [("a", 1, "01"), ("b", 2, "01")]
+
+
+def test_rows_without_a_mark_stop_an_append(spark, folder):
+    ddl = "k int, run_date date"
+    good = spark.createDataFrame([(1, datetime.date(2024, 1, 1))], ddl)
+    for path in (f"{folder}/new", f"{folder}/old"):
+        if path.endswith("old"):
+            W.append_newer(good, path, "run_date")
+        with pytest.raises(ValueError, match="run_date"):
+            W.append_newer(good.unionByName(spark.createDataFrame([(2, None)], ddl)), path, "run_date")
+    assert spark.read.schema(ddl).parquet(f"{folder}/old").count() == 1

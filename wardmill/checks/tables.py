@@ -20,6 +20,7 @@ from wardmill.plans import bronze as B
 from wardmill.plans import dimensions as D
 from wardmill.plans import silver as SV
 from wardmill.plans.fact import stage_fact
+from wardmill.session import staging_path
 from wardmill.sources.text_formats import rows_from_json_matrix
 
 c = F.col
@@ -126,6 +127,25 @@ def pivoted(t: Tables) -> DataFrame:
     return pivot_first(t.orders, ["o_custkey"], "o_orderstatus", "o_orderpriority", ["F", "O", "P"])
 
 
+@check("A05 SC16", oracle("""
+SELECT CAST(year(collection_week) AS INTEGER) AS year, COUNT(*) AS n_rows, MIN(collection_week) AS first_date, MAX(collection_week) AS last_date,
+  COUNT(DISTINCT hospital_id) AS n_entities, TRUE AS sketch_agrees, TRUE AS ranks_agree FROM v_fact GROUP BY 1
+""", "v_fact"))
+def profile_of_stored_weeks(t: Tables) -> DataFrame:
+    """Weekly states are stored, then merged by year without the rows; sketches are judged by their stated errors."""
+    path, fact = staging_path(t.spark, "profile"), V.fact(t).select("hospital_id", "collection_week", "inpatient_occupancy_rate")
+    A.profile_state(fact, "hospital_id", "collection_week", "inpatient_occupancy_rate").write.parquet(path)
+    states = t.spark.read.parquet(path).withColumn("year", F.year("period"))
+    merged = A.profile_of(A.merged_profile(states, "year"), [0.5])
+    rows = fact.withColumn("year", F.year("collection_week")).join(merged.select("year", c("quantiles")[0].alias("median")), "year")
+    exact = rows.groupBy("year").agg(F.countDistinct("hospital_id").alias("exact"), F.avg((c("inpatient_occupancy_rate") <= c("median")).cast("int")).alias("up_to"),
+                                     F.avg((c("inpatient_occupancy_rate") < c("median")).cast("int")).alias("below"))
+    found = merged.join(exact, "year")
+    return found.select("year", "n_rows", "first_date", "last_date", c("exact").alias("n_entities"),
+                        (F.abs(c("n_entities") - c("exact")) <= 0.08 * c("exact")).alias("sketch_agrees"),
+                        ((c("up_to") >= 0.5 - 0.03) & (c("below") <= 0.5 + 0.03)).alias("ranks_agree"))
+
+
 @check("A05 SC16", oracle("""
 SELECT COUNT(*) AS n_rows, COUNT(DISTINCT hospital_id) AS n_entities, MIN(collection_week) AS first_date,
   MAX(collection_week) AS last_date FROM v_fact

@@ -38,7 +38,7 @@ from wardmill.plans.models import BoostingParams, CapacityModel, load_model, sav
 from wardmill.plans.params import RunParams
 from wardmill.plans.serving import forecast_enriched, forecast_latest, forecast_serving, observability
 from wardmill.session import build_session, ensure_checkpoint_dir, path_exists
-from wardmill.sources.writers import append_newer, land, split_counts, upsert_partitions, write_run, write_splits
+from wardmill.sources.writers import append_newer, land, split_counts, upsert_partitions, write_feature_metadata, write_run, write_splits
 
 REGISTRY = "model_name string, status string, create_time timestamp, test_mae double"
 
@@ -65,6 +65,8 @@ def train(
                           artifacts=f"{out}/preprocessor/{name}")
         for name, p in models.items()
     }
+    some = next(iter(fitted.values())).preprocessor
+    write_feature_metadata(spark, f"{out}/feature_metadata", some.numeric, some.categorical, train_end, validation_end, counts)
     for name, model in fitted.items():
         save_model(model, f"{out}/models/{name}/{params.run_date}")
     test = rows.filter(F.col("split") == "test")

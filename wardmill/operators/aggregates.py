@@ -56,6 +56,35 @@ def profile(df: DataFrame, entity: str, date: str) -> DataFrame:
     )
 
 
+def profile_state(df: DataFrame, entity: str, date: str, measure: str, period: str = "week") -> DataFrame:
+    """A profile of each period that merges: rows, first and last date, and sketches of the entities and of a measure.
+
+    The sketches have a fixed size whatever the rows: distinct entities within about 1.6 % (12 bits, one standard error), ranks of
+    the measure within about 1.3 %. A run profiles its new period only and adds its row to the stored ones.
+    """
+    return df.groupBy(F.date_trunc(period, F.col(date)).cast("date").alias("period")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(date).alias("first_date"), F.max(date).alias("last_date"),
+        F.hll_sketch_agg(entity, 12).alias("entities"), F.kll_sketch_agg_double(F.col(measure).cast("double")).alias("measure"),
+    )
+
+
+def merged_profile(states: DataFrame, *groups: str) -> DataFrame:
+    """Stored periods as one state (or one for each group); merging is associative, so merged states merge again."""
+    return states.groupBy(*groups).agg(
+        F.sum("n_rows").alias("n_rows"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+        F.hll_union_agg("entities").alias("entities"), F.kll_merge_agg_double("measure").alias("measure"),
+    )
+
+
+def profile_of(states: DataFrame, ranks: Sequence[float] = (0.05, 0.5, 0.95)) -> DataFrame:
+    """Figures of states: rows, about how many entities, first and last date, and the measure at some ranks (null without any)."""
+    at = F.array(*[F.lit(float(r)) for r in ranks])
+    some = F.kll_sketch_get_n_double("measure") > 0
+    return states.withColumns({
+        "n_entities": F.hll_sketch_estimate("entities"), "quantiles": F.when(some, F.kll_sketch_get_quantile_double("measure", at)),
+    }).drop("entities", "measure")
+
+
 def count_by(df: DataFrame, *names: str) -> DataFrame:
     return df.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
 

@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.session import importable_in_tasks
+
 #: Tasks that merge the partitions' sums, and so the matrices that the driver adds up.
 MERGERS = 64
 #: Part of a column's own variance that must be left when the columns before it are taken out.
@@ -69,6 +71,7 @@ def _products(row: dict) -> Products:
 def products(df: DataFrame, columns: Sequence[str], weight: str | None = None,
              change: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None) -> Products | None:
     """Sums of the columns in one scan; ``change`` maps a batch's values and weights to others first. None without a complete row."""
+    importable_in_tasks(df.sparkSession)
     used = [*columns, *([weight] if weight else [])]
     complete = F.lit(True)
     for n in used:

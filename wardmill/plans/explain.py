@@ -27,6 +27,8 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.session import importable_in_tasks
+
 
 @dataclass(frozen=True)
 class TreeArrays:
@@ -160,6 +162,7 @@ def explained_column(vectors: Column, trees: list[TreeArrays], method: Callable[
 
 
 def _with_contributions(scored: DataFrame, trees: list[TreeArrays], base: float, method, features: list[str]) -> DataFrame:
+    importable_in_tasks(scored.sparkSession)
     names = F.array(*[F.lit(n) for n in features])
     values = scored.withColumn("_values", explained_column(vector_to_array("features"), trees, method))
     return values.withColumns({

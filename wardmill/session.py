@@ -6,6 +6,7 @@ their process build one here.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Mapping
 
@@ -31,6 +32,14 @@ def build_session(app_name: str, master: str | None = None, shuffle_partitions:
     return builder.getOrCreate()
 
 
+def importable_in_tasks(spark: SparkSession) -> None:
+    """Functions that run in tasks import this package by name; workers that start from now on find it where the driver did."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines share: ``spark.checkpoint.dir``, else the warehouse; never a machine's own one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)

@@ -227,9 +227,11 @@ def write_run(
 def append_newer(batch: DataFrame, path: str, column: str, cluster: Sequence[str] = ()) -> int:
     """Append the rows past the table's high-water mark, all of them to an absent table; how many there were.
 
-    A table of hive partitions by ``column``. A repeated batch adds nothing.
+    A table of hive partitions by ``column``. A repeated batch adds nothing. A row without a mark is neither old nor new and stops the run.
     """
     spark = batch.sparkSession
+    if not batch.filter(F.col(column).isNull()).isEmpty():
+        raise ValueError(f"rows without a {column!r} cannot be told new from old")
     if path_exists(spark, path):
         batch = newer_than_target(spark.read.schema(batch.schema).parquet(path), batch, column)
     staged = sibling_path(path, "append")
