@@ -59,7 +59,7 @@ STAGES = [
     ("mixing sources to target weights", mixed),
 ]
 
-#: The fitted classifiers and sampled hashes are beyond SQL; tests compare ``run`` with a brute-force version.
+#: The fitted classifiers and sampled hashes are beyond SQL; tests/llm compares every stage with a brute-force version.
 ORACLE_SQL = None
 
 
