@@ -61,21 +61,21 @@ def test_stretches():
 
 
 def test_refresh_equals_rebuild(spark, folder):
-    """New, corrected, withdrawn and late rows of facilities with gaps; H5 reports every sixth week, H6 begins late."""
+    """New, corrected, withdrawn and late rows of facilities with gaps; H5 reports every fourth week, H6 begins late."""
     rnd, dims, data = random.Random(4), dimensions(spark), {}
     for h in range(7):
-        for i in range(90):
-            if (h != 5 or i % 6 == 0) and (h != 6 or i > 80) and rnd.random() > 0.1:
+        for i in range(64):
+            if (h != 5 or i % 4 == 0) and (h != 6 or i > 54) and rnd.random() > 0.1:
                 data[f"H{h}", week(i)] = (100.0, round(rnd.random(), 3))
-    day = str(week(70))
-    W.overwrite_partition(frame(spark, {k: v for k, v in data.items() if k[1] <= week(70)}), f"{folder}/fact", ["collection_week"])
+    day = str(week(50))
+    W.overwrite_partition(frame(spark, {k: v for k, v in data.items() if k[1] <= week(50)}), f"{folder}/fact", ["collection_week"])
     assert refreshed(spark, folder, dims, day) == R.Refresh(None, None)
     check(spark, folder, dims, day)
     assert refreshed(spark, folder, dims, day) == R.Refresh((), ())
-    for step, day in enumerate((week(71), week(72), week(72), week(89))):
-        changed = {("H1", week(40)): (100.0, rnd.random()), ("H5", week(12 * step)): (100.0, rnd.random()), ("H2", week(5 + step)): (0.0, 0.0),
-                   ("H0", week(33)): (100.0 * (step % 2), rnd.random())}
-        changed |= {k: v for k, v in data.items() if week(70 + step) < k[1] <= day}
+    for step, day in enumerate((week(51), week(51), week(63))):
+        changed = {("H1", week(30)): (100.0, rnd.random()), ("H5", week(12 * step)): (100.0, rnd.random()), ("H2", week(5 + step)): (0.0, 0.0),
+                   ("H0", week(23)): (100.0 * (step % 2), rnd.random())}
+        changed |= {k: v for k, v in data.items() if week(50 + min(step, 1)) < k[1] <= day}
         merged(spark, folder, frame(spark, changed))
         done = refreshed(spark, folder, dims, str(day))
         assert done.read and done.rewritten
