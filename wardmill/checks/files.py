@@ -261,13 +261,12 @@ def arrivals(t: Tables) -> DataFrame:
     return got.select("o_orderkey", c("_has_violation").alias("bad"))
 
 
-_DELIVERY = "CASE WHEN o_orderkey % 10 < 7 THEN 0 WHEN o_orderkey % 10 < 9 THEN 1 ELSE 2 END"
+_DELIVERY = "CASE WHEN o_orderkey % 10 < 7 AND year(o_orderdate) < 1998 THEN 0 WHEN o_orderkey % 10 < 9 THEN 1 ELSE 2 END"
 
 
 @check("I02 I06", f"""
 WITH d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, o_orderkey, {_DELIVERY} AS delivery FROM orders
-    WHERE {_DELIVERY} > 0 OR year(o_orderdate) < 1998
-  UNION ALL SELECT o_custkey, CAST(o_orderdate AS DATE), o_orderkey, 2 FROM orders WHERE o_orderkey % 10 < 7 AND year(o_orderdate) < 1998 AND o_orderkey % 4 = 0),
+  UNION ALL SELECT o_custkey, CAST(o_orderdate AS DATE), o_orderkey, 2 FROM orders WHERE {_DELIVERY} = 0 AND o_orderkey % 4 = 0),
 m AS (SELECT delivery, MAX(d) AS newest FROM d GROUP BY 1),
 w AS (SELECT d.*, COALESCE(d < (SELECT MAX(newest) FROM m WHERE m.delivery < d.delivery) - 400, FALSE) AS late FROM d),
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, d, late ORDER BY delivery, CAST(o_orderkey AS VARCHAR)) AS nth FROM w)
@@ -277,10 +276,10 @@ def stream_of_late_and_repeated_rows(t: Tables) -> DataFrame:
     """Three deliveries, the stream stopped after each: a customer's first order of a day is taken, repeats and late rows are told apart."""
     root = staging_path(t.spark, "late-stream")
     rows = t.orders.select("o_custkey", c("o_orderdate").cast("date").alias("d"), "o_orderkey")
-    delivery = F.expr(_DELIVERY)
-    first = rows.filter((delivery == 0) & (F.year("d") < 1998))
+    delivery = F.expr(_DELIVERY.replace("o_orderdate", "d"))
+    first = rows.filter(delivery == 0)
     for part in (first, rows.filter(delivery == 1), rows.filter(delivery == 2).unionByName(first.filter("o_orderkey % 4 = 0"))):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        part.write.mode("append").parquet(f"{root}/in")
         stream_once(file_stream(t.spark, f"{root}/in", rows.schema), ["o_custkey"], "d", f"{root}/out", f"{root}/checkpoint", 400).awaitTermination()
     return t.spark.read.schema(rows.schema.add("outcome", "string")).parquet(f"{root}/out").select("o_custkey", "d", "o_orderkey", "outcome")
 
