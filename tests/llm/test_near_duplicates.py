@@ -59,6 +59,39 @@ def test_classes_are_those_of_exact_similarity(spark, table):
         assert all(r["kept"] == (r["id"] is None or r["class_id"] == r["id"]) for r in got)
 
 
+def test_rows_that_share_an_id_are_all_compared_in_any_order(spark):
+    """Different texts of one id, texts that several ids have, and an id with many texts: equal to brute force in both orders."""
+    rng = random.Random(11)
+    some = [x for x in texts(5) if x and len(x.split()) > 20]
+    other = [x for x in texts(6) if x and len(x.split()) > 20]
+    rows = [(1, some[0]), (1, other[0]), (2, other[0].replace(" ", " - ", 1)), (3, some[0]), (4, other[0]), (0, other[0])]
+    rows += [(rng.randrange(10, 40), x) for x in some + other] + [(50, x) for x in other[::3]] + [(50, None), (51, ""), (None, some[0])] * 2
+    bags = [(i, b) for i, b in weighted(rows) if i is not None and b]
+    expected = components([(i, j) for at, (i, p) in enumerate(bags) for j, q in bags[:at] if i != j and overlap(p, q) >= 0.8])
+    for order, parts, cell in ((rows, 1, 1000), (rows[::-1], 5, 3), (sorted(rows, key=str), 13, 1000)):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(parts)
+        got = M.near_duplicates(docs, cell=cell).collect()
+        assert len(got) == len(rows)
+        assert {r["id"]: r["class_id"] for r in got if r["id"] is not None} == {i: expected.get(i, i) for i, _ in rows if i is not None}
+
+
+def test_frequencies_do_not_depend_on_partitions_or_memory(spark):
+    """Shares in any partitioning and with a summary that overflows all the time are those of exact counts."""
+    rng = random.Random(2)
+    often = " ".join(f"w{k}" for k in range(60))
+    docs = [(often if rng.random() < 0.03 else "") + " " + " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(200))) for _ in range(2000)]
+    docs += ["", None, " ".join(f"u{k}" for k in range(20_000))]
+    count = Counter(s for x in docs for s in shingles(x))
+    n = sum(bool(shingles(x)) for x in docs)
+    want = sorted(k / n for k in count.values() if k >= 0.02 * n)
+    assert len(want) >= 50
+    frame = spark.createDataFrame([(x,) for x in docs], "text string")
+    tables = [M.common_shingles(frame.repartition(parts), summary=summary) for parts, summary in ((1, 1 << 20), (64, 1 << 20), (1, 3000), (7, 50))]
+    for keys, shares in tables:
+        assert (keys == tables[0][0]).all() and (shares == tables[0][1]).all()
+        assert np.allclose(sorted(shares), want, rtol=0, atol=1e-12)
+
+
 def test_no_documents(spark):
     assert M.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

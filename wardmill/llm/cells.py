@@ -15,18 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cells(rows: DataFrame, key: str, id_: str, limit: int, payload: DataFrame | None = None) -> DataFrame:
+def cells(rows: DataFrame, key: str, id_: str | list[str], limit: int, payload: DataFrame | None = None) -> DataFrame:
     """Rows with ``cell`` (of ``key`` and two blocks) and ``block`` (0 or 1: the row's side; all 0 in a cell of one block).
 
-    Ids are unique in a group. ``payload`` has a row per id, which joins only rows that are in a group of several, so that
+    Ids (a column or several) are unique in a group. ``payload`` has a row per id, which joins only rows that are in a group of several, so that
     wide columns do not travel with the others. Rows of a cell lie together, sorted by cell and id.
     """
+    ids = [id_] if isinstance(id_, str) else id_
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
     g = F.ceil(F.col("__n") / limit).cast("int")
-    own = F.pmod(F.xxhash64(id_), F.col("__g"))
+    own = F.pmod(F.xxhash64(*ids), F.col("__g"))
     kept = rows.join(sizes, key)
     if payload is not None:
-        kept = kept.join(payload, id_)
+        kept = kept.join(payload, ids)
     return (
         kept.withColumn("__g", g).withColumn("__own", own.cast("int"))
         .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__g") - 1)))
@@ -34,7 +35,7 @@ def cells(rows: DataFrame, key: str, id_: str, limit: int, payload: DataFrame |
         .withColumn("block", (F.col("__own") > F.col("__other")).cast("int"))
         .withColumn("alone", F.col("__own") == F.col("__other"))
         .drop("__n", "__g", "__own", "__other")
-        .repartition("cell").sortWithinPartitions("cell", key, id_)
+        .repartition("cell").sortWithinPartitions("cell", key, *ids)
     )
 
 

@@ -87,40 +87,41 @@ def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return unique, np.bincount(inverse, weights=counts, minlength=len(unique)).astype(np.int64)
 
 
-def _local_counts(text: str, k: int, share: float):
-    """Of each partition: its documents with words (as shingle null), and shingles in more than ``share`` of them.
+def _local_counts(text: str, k: int, share: float, summary: int):
+    """Of each run of rows: its documents with words (as shingle null), and the shingles in more than ``share`` of them.
 
-    A frequent-items summary of bounded size: on overflow every count falls by the same amount, so a count is too small by
-    at most the sum of the falls, which is far below ``share`` of the documents.
+    A run ends where its distinct shingles pass ``summary``, which bounds memory. What a run leaves out is in at most ``share``
+    of its own documents, so the sum over all runs misses at most ``share`` of all documents, wherever runs end.
     """
 
     def run(batches):
-        keys, counts, documents, fallen = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 0, 0
+        keys, counts, documents = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 0
         waiting: list[np.ndarray] = []
 
-        def merge():
-            nonlocal keys, counts, fallen
+        def merged():
             fresh, times = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (keys[:0], counts[:0])
             waiting.clear()
-            keys, counts = _counted(np.concatenate([keys, fresh]), np.concatenate([counts, times]))
-            if len(keys) > _SUMMARY:
-                fall = int(np.partition(counts, -_SUMMARY - 1)[-_SUMMARY - 1])
-                keep = counts > fall
-                keys, counts, fallen = keys[keep], counts[keep] - fall, fallen + fall
+            return _counted(np.concatenate([keys, fresh]), np.concatenate([counts, times]))
+
+        def told():
+            keep = counts > share * documents
+            found, times = keys[keep], counts[keep]
+            yield pa.RecordBatch.from_arrays([pa.array([None], type=pa.int64()), pa.array([documents], type=pa.int64())], names=["shingle", "n"])
+            for at in range(0, len(found), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(found[at:at + 100_000].view(np.int64)), pa.array(times[at:at + 100_000])], names=["shingle", "n"])
 
         for batch in batches:
             for piece in scan(_column(batch, text)):
                 found, _, _ = row_shingles(piece, k)
                 documents += int((np.diff(piece.first) > 0).sum())
                 waiting.append(found)
-                if sum(map(len, waiting)) > _SUMMARY:
-                    merge()
-        merge()
-        keep = counts + fallen > share * documents
-        keys, counts = keys[keep], counts[keep]
-        yield pa.RecordBatch.from_arrays([pa.array([None], type=pa.int64()), pa.array([documents], type=pa.int64())], names=["shingle", "n"])
-        for at in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 100_000].view(np.int64)), pa.array(counts[at:at + 100_000])], names=["shingle", "n"])
+                if sum(map(len, waiting)) > summary:
+                    keys, counts = merged()
+                    if len(keys) > summary:
+                        yield from told()
+                        keys, counts, documents = keys[:0], counts[:0], 0
+        keys, counts = merged()
+        yield from told()
 
     return run
 
@@ -141,15 +142,15 @@ def _exact_counts(text: str, k: int, wanted):
     return run
 
 
-def common_shingles(docs: DataFrame, text: str = "text", k: int = SHINGLE, common: float = COMMON) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(docs: DataFrame, text: str = "text", k: int = SHINGLE, common: float = COMMON, summary: int = _SUMMARY) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, of the shingles in at least ``common`` of the documents with words, and those shares, exact.
 
-    First pass: each partition's counts of what more than a quarter of that share of its documents hold. Their sums miss at
+    First pass: counts of what more than a quarter of that share of the documents of a run of rows hold. Their sums miss at
     most a quarter of the share, so what reaches three quarters includes every common shingle and is bounded. Second
     pass: exact counts of these.
     """
     spark = docs.sparkSession
-    local = stored(docs.select(text).mapInArrow(_local_counts(text, k, common / 4), "shingle long, n long"), "shingle-counts")
+    local = stored(docs.select(text).mapInArrow(_local_counts(text, k, common / 4, summary), "shingle long, n long"), "shingle-counts")
     documents = local.where("shingle is null").agg(F.sum("n")).first()[0] or 0
     likely = local.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= 0.75 * common * documents)
     keys = np.sort(likely.select("shingle").toArrow().column(0).to_numpy().view(np.uint64))
@@ -194,11 +195,11 @@ def samples(found: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.nda
     return out
 
 
-def _sketched(id_: str, text: str, k: int, table):
+def _sketched(id_: str, mark: str, text: str, k: int, table):
     def run(batches):
         common = table.value
         for batch in batches:
-            ids = _column(batch, id_)
+            ids, marks = _column(batch, id_), _column(batch, mark)
             for piece in scan(_column(batch, text)):
                 found, rows, times = row_shingles(piece, k)
                 some, starts = np.unique(rows, return_index=True)
@@ -209,12 +210,13 @@ def _sketched(id_: str, text: str, k: int, table):
                 hashes = piece.hashes()
                 words = np.stack([[_whole(hashes[piece.first[r]:piece.first[r + 1]], seed) for r in some] for seed in (1, 3)])
                 size = len(some)
+                at = pa.array(some + piece.rows.start)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(piece.rows.start, len(piece.first) - 1).take(pa.array(some)),
+                    ids.take(at), marks.take(at),
                     pa.array(words[0].view(np.int64)), pa.array(words[1].view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * BANDS), pa.array(np.stack(bands, axis=1).ravel().view(np.int64))),
                     pa.array([row.tobytes() for row in sample.astype(np.uint32)], type=pa.binary()),
-                ], names=["id", "w1", "w2", "bands", "sample"])
+                ], names=["id", "t", "w1", "w2", "bands", "sample"])
 
     return run
 
@@ -298,28 +300,35 @@ def near_duplicates(docs: DataFrame, *, id_: str = "doc_id", text: str = "text",
     """``id``, ``class_id`` (smallest id of the class) and ``kept`` (it is that one), a row for each row of ``docs``.
 
     Texts without words (null ones, too) and rows without an id are a class of their own; without an id, class_id is null.
-    Rows that share an id are one document.
+    Rows that share an id are one document with several texts: each of these is compared, and all that one of them links
+    is of one class. The order of rows and their partitions have no influence.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     common = spark.sparkContext.broadcast(common_shingles(docs, "text", k))
-    sketches = stored(docs.where("id is not null").mapInArrow(_sketched("id", "text", k, common),
-                      "id long, w1 long, w2 long, bands array<long>, sample binary"), "sketches")
-    nodes = stored(sketches.groupBy("w1", "w2").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("sample").alias("sample")), "nodes")
-
-    meeting = nodes.select(F.col("node").alias("id"), F.posexplode("bands").alias("band", "value")).select("id", F.xxhash64("band", "value").alias("bucket")).distinct()
-    samples_of = nodes.groupBy(F.col("node").alias("id")).agg(F.first("sample").alias("sample"))
-    pairs = stored(cells(meeting, "bucket", "id", cell, samples_of).select("cell", "id", "block", "alone", "sample").mapInArrow(_candidates, "src long, dst long"), "candidates")
+    docs = docs.withColumn("t", F.xxhash64("text"))
+    sketches = stored(docs.where("id is not null").mapInArrow(_sketched("id", "t", "text", k, common),
+                      "id long, t long, w1 long, w2 long, bands array<long>, sample binary"), "sketches")
+    # A node is a word sequence (w1, w2); the smallest of its rows (id, t) has the text that stands for it.
+    first = F.min(F.struct("id", "t")).alias("own")
+    nodes = stored(sketches.groupBy("w1", "w2").agg(first, F.first("bands").alias("bands"), F.first("sample").alias("sample"))
+                   .select("w1", "w2", F.col("own.id").alias("node"), F.col("own.t").alias("t"), "bands", "sample"), "nodes")
+
+    meeting = nodes.select("w1", "w2", F.posexplode("bands").alias("band", "value")).select("w1", "w2", F.xxhash64("band", "value").alias("bucket"))
+    pairs = cells(meeting, "bucket", ["w1", "w2"], cell, nodes.select("w1", "w2", "sample"))
+    pairs = stored(pairs.select("cell", F.col("w1").alias("id"), "block", "alone", "sample").mapInArrow(_candidates, "src long, dst long"), "candidates")
     groups = stored(connected_components(pairs), "groups")
 
-    members = groups.select(F.col("node").alias("id"), "component").join(samples_of, "id")
-    members = members.join(docs.where("id is not null").dropDuplicates(["id"]), "id")
-    texts = cells(members, "component", "id", cell).select("cell", "id", "block", "alone", "sample", "text")
+    members = groups.select(F.col("node").alias("w1"), "component").join(nodes.select("w1", "w2", F.col("node").alias("id"), "t", "sample"), "w1")
+    members = members.join(docs.where("id is not null").dropDuplicates(["id", "t"]), ["id", "t"])
+    texts = cells(members, "component", ["w1", "w2"], cell).select("cell", "id", "block", "alone", "sample", "text")
     links = stored(texts.mapInArrow(_verified(k, common, similarity), "src long, dst long"), "verified")
-    classes = connected_components(links)
 
-    of_node = nodes.select("w1", "w2", "node").join(classes, "node", "left").select("w1", "w2", F.coalesce("component", "node").alias("class_id"))
-    worded = sketches.select("id", "w1", "w2").join(of_node, ["w1", "w2"]).select("id", "class_id")
-    per_id = worded.groupBy("id").agg(F.min("class_id").alias("class_id"))
+    nodes_of = stored(sketches.select("id", "w1", "w2").join(nodes.select("w1", "w2", "node"), ["w1", "w2"]).select("id", "node"), "nodes-of")
+    several = nodes_of.groupBy("id").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src < last").select("id", "src")
+    same_id = nodes_of.join(several, "id").where("node > src").select("src", F.col("node").alias("dst"))
+    classes = connected_components(links.union(same_id))
+
+    per_id = nodes_of.join(classes, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("class_id"))
     return docs.select("id").join(per_id, "id", "left").select(
         "id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce(F.coalesce("class_id", "id") == F.col("id"), F.lit(True)).alias("kept"))
