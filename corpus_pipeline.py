@@ -31,10 +31,17 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate class; of rows with one id, one. Rows without an id stay."""
+    """Keeps the document with the smallest id of each near-duplicate class, with all its texts. Rows without an id stay.
+
+    Rows of one id and one text are one; its other columns are those of the row with the smallest hash, whatever the order.
+    """
     found = weighted_minhash.near_duplicates(docs)
     kept = found.where("kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
-    return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    columns = [n for n in docs.columns if n not in ("doc_id", "text")]
+    plain = ["source", "lang", "n_chars"]
+    rows = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    rows = rows.groupBy("doc_id", "text").agg(F.min_by(F.struct(*columns), F.xxhash64(*[F.col(n).cast("string") for n in plain])).alias("__row"))
+    return rows.select("doc_id", "text", "__row.*").unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
