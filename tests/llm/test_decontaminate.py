@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 import re
+import time
+import tracemalloc
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -85,3 +87,46 @@ def test_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a")], "doc_id long, text string"), spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert D.contamination(docs.limit(0), items).count() == 0
     assert D.contamination(docs, items.limit(0)).select(F.col("contamination.n_hit")).first()[0] == 0
+
+
+def hits(docs, items):
+    index = D.fingerprints([i for i, _ in items], pa.array([x for _, x in items], type=pa.string()))
+    found = D.find_hits(pa.array([x for _, x in docs], type=pa.string()), index)
+    return sorted(((d, n, sum(e - s for s, e in spans), sorted({index.ids[x] for x in own} - {None}))
+                   for (d, _), (n, spans, own) in zip(docs, found, strict=True)), key=str)
+
+
+def test_periodic_texts_against_brute_force():
+    """Runs of a word, periods up to 30, broken ones, in documents and items: equal to brute force with any step."""
+    rng = random.Random(7)
+
+    def periodic(n, broken):
+        w = [f"p{rng.randrange(4)}" for _ in range(rng.choice([1, 1, 2, 3, 7, 14, 30]))]
+        out = [w[i % len(w)] for i in range(n)]
+        for _ in range(broken):
+            out[rng.randrange(n)] = f"q{rng.randrange(3)}"
+        return " ".join(out)
+
+    items = [(i, periodic(rng.choice([3, 12, 13, 14, 40, 300]), rng.randrange(3))) for i in range(25)]
+    docs = [(i, periodic(rng.choice([5, 13, 60, 900]), rng.randrange(9))) for i in range(60)]
+    docs += [(100 + i, " ".join([x, "end", y])) for i, ((_, x), (_, y)) in enumerate(zip(items, items[1:]))]
+    expected = brute(docs, items)
+    assert sum(h > 0 for _, _, h, _ in expected) > 30
+    whole = D.STEP
+    try:
+        for D.STEP in (whole, 37):
+            assert hits(docs, items) == expected
+    finally:
+        D.STEP = whole
+
+
+def test_a_word_repeated_a_hundred_thousand_times():
+    """Time and memory of the work follow the text's length, not its square."""
+    docs = [(1, "a " * 100_000), (2, "a b " * 50_000 + "c"), (3, "a " * 12)]
+    items = [(1, "a " * 10_000), (2, "b a " * 5_000), (3, "a " * 20 + "x")]
+    tracemalloc.start()
+    began = time.monotonic()
+    found = hits(docs, items)
+    assert time.monotonic() - began < 60 and tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    assert found == [(1, 100_000, 100_000, [1, 3]), (2, 100_001, 100_000, [2]), (3, 12, 0, [])]

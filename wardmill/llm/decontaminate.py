@@ -4,9 +4,12 @@ Fingerprints: of every run of ``window - k + 1`` successive k-gram hashes the
 rightmost smallest one is kept. Two texts that share ``window`` words share
 such a run, hence a fingerprint, so no shared span of that length is missed.
 Equal fingerprints are only seeds: each is extended along its diagonal by
-comparing word hashes, and only runs of at least ``window`` words count. An
-item shorter than a window is one window of its own length, with fingerprints
-made for that length.
+comparing word hashes, as far as a window with the seed reaches, and only runs
+of at least ``window`` words count. An item shorter than a window is one window
+of its own length, with fingerprints made for that length. Fingerprints of an
+item that stand in equal surroundings of that reach give equal results, so one
+of them is kept: repeated words and periods cost no more than other text. Seeds
+are extended ``STEP`` at a time, which bounds memory.
 
 The documents are read once for each block of items and never shuffled. A
 block of the benchmark's fingerprints is at most ``block_bytes`` of text, which
@@ -27,11 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardmill.llm.shared import stored
-from wardmill.llm.words import grams, scan
+from wardmill.llm.words import grams, mix, scan
 
 WINDOW = 13
 GRAM = 5
 BLOCK_BYTES = 32 << 20
+STEP = 1 << 18
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 HITS = T.StructType([
@@ -63,25 +67,42 @@ def winnow(hashes: np.ndarray, k: int, window: int, fits: np.ndarray | None = No
 
 @dataclass
 class Fingerprints:
-    """Sorted fingerprints of a block of items, by the window length they guarantee."""
+    """Sorted fingerprints of a block of items, by the window length they guarantee: k, hashes, items, places in ``words``.
+
+    ``words`` holds the word hashes of all items, item i those from ``first[i]`` to ``first[i + 1]``.
+    """
 
     ids: list
-    words: list[np.ndarray]
+    words: np.ndarray
+    first: np.ndarray
     tables: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
 
+def _surroundings(words: np.ndarray, at: np.ndarray, k: int, reach: int) -> np.ndarray:
+    """For each place a hash of the words from ``reach`` before the gram to ``reach`` after it, the text's ends included."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for j in range(-reach, k + reach):
+        place = at + j
+        inside = (place >= 0) & (place < len(words))
+        out = mix(out + np.where(inside, words[np.clip(place, 0, len(words) - 1)], np.uint64(0)) + inside.astype(np.uint64))
+    return out
+
+
 def fingerprints(ids: list, texts: pa.Array, window: int = WINDOW, gram: int = GRAM) -> Fingerprints:
     words: list[np.ndarray] = []
     for piece in scan(texts):
         hashes = piece.hashes()
         words += [hashes[a:b].copy() for a, b in zip(piece.first[:-1], piece.first[1:], strict=True)]
+    first = np.concatenate([[0], np.cumsum([len(own) for own in words], dtype=np.int64)])
     by_length: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
     for i, own in enumerate(words):
         length = min(len(own), window)
         if length:
-            at, found = winnow(own, min(gram, length), length)
-            by_length[length].append((found, np.full(len(at), i), at))
-    out = Fingerprints(ids, words)
+            k = min(gram, length)
+            at, found = winnow(own, k, length)
+            _, one = np.unique(_surroundings(own, at, k, length - k), return_index=True)
+            by_length[length].append((found[one], np.full(len(one), i), at[one] + first[i]))
+    out = Fingerprints(ids, np.concatenate([*words, np.zeros(0, dtype=np.uint64)]), first)
     for length, parts in by_length.items():
         found, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(found, kind="stable")
@@ -89,6 +110,17 @@ def fingerprints(ids: list, texts: pa.Array, window: int = WINDOW, gram: int = G
     return out
 
 
+def _reach(words: np.ndarray, seed: np.ndarray, end: np.ndarray, own: np.ndarray, place: np.ndarray, own_end: np.ndarray, steps: int, way: int) -> np.ndarray:
+    """How many words are equal one after the other from each seed and place on, at most ``steps``; ``end``: first place outside."""
+    out, same = np.zeros(len(seed), dtype=np.int64), np.ones(len(seed), dtype=bool)
+    for j in range(steps):
+        p, q = seed + way * j, place + way * j
+        same &= (way * p < way * end) & (way * q < way * own_end)
+        same[same] = words[p[same]] == own[q[same]]
+        out += same
+    return out
+
+
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edges = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -99,24 +131,25 @@ def find_hits(texts: pa.Array, index: Fingerprints) -> Iterator[tuple[int, list[
     for piece in scan(texts):
         hashes, row = piece.hashes(), piece.row_of_word()
         left = piece.first[1:][row] - np.arange(len(hashes))
-        hit = np.zeros(len(hashes) + 1, dtype=bool)
+        edges = np.zeros(len(hashes) + 1, dtype=np.int64)
         items: dict[int, set[int]] = defaultdict(set)
         for length, (k, prints, owner, place) in index.tables.items():
             at, found = winnow(hashes, k, length, left >= length)
             low, high = np.searchsorted(prints, found, "left"), np.searchsorted(prints, found, "right")
-            times = high - low
-            if not times.sum():
-                continue
-            seed = np.repeat(at, times)
-            entry = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            lines = np.unique(np.stack([row[seed], owner[entry], seed - place[entry]]), axis=1)
-            for r, item, shift in lines.T:
-                own = index.words[item]
-                a, b = max(shift, piece.first[r]), min(shift + len(own), piece.first[r + 1])
-                for s, e in zip(*_runs(hashes[a:b] == own[a - shift:b - shift]), strict=True):
-                    if e - s >= length:
-                        hit[a + s:a + e] = True
-                        items[int(r)].add(int(item))
+            upto = np.cumsum(high - low)
+            for step in range(0, int(upto[-1]) if len(upto) else 0, STEP):
+                pair = np.arange(step, min(step + STEP, int(upto[-1])))
+                of = np.searchsorted(upto, pair, "right")
+                seed, entry = at[of], high[of] - (upto[of] - pair)
+                r, item, spot = row[seed], owner[entry], place[entry]
+                after = _reach(hashes, seed, piece.first[r + 1], index.words, spot, index.first[item + 1], length, 1)
+                before = _reach(hashes, seed - 1, piece.first[r] - 1, index.words, spot - 1, index.first[item] - 1, length - k, -1)
+                good = (after >= k) & (before + after >= length)
+                np.add.at(edges, (seed - before)[good], 1)
+                np.add.at(edges, (seed + after)[good], -1)
+                for x, y in np.unique(np.stack([r[good], item[good]]), axis=1).T.tolist():
+                    items[x].add(y)
+        hit = np.cumsum(edges)[:-1] > 0
         for r in range(len(piece.first) - 1):
             a, b = piece.first[r], piece.first[r + 1]
             spans = [(int(s), int(e)) for s, e in zip(*_runs(hit[a:b]), strict=True)] if r in items else []
