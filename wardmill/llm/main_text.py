@@ -3,7 +3,8 @@
 The page is cut into blocks at block-level tags. First pass: a block gets a label from what surrounds it (a menu, an advert,
 comments: bad; an article or main element: good; a name that may be either, as related or legal: bad as long as no block in it is
 good by its numbers) or else from its own numbers: a high share of link text is bad, a long
-block with many stop words is good, a long one without is bad; a short one is undecided. Second pass: undecided blocks inherit
+block with many stop words is good, a long one without is bad; a short one is undecided. Where no list of stop words fits (another
+script, or a page whose prose hardly has one), length and links alone decide. Second pass: undecided blocks inherit
 from the nearest decided neighbours in page order, before and after; where these differ, the nearer one decides, and at
 equal distance the block is good only if it is a heading or nearly has the stop words of a good block.
 """
@@ -24,6 +25,7 @@ LINKS = 0.33
 SHORT = 70
 LONG = 200
 STOP_LOW, STOP_HIGH = 0.10, 0.20
+LISTED_WORDS, LISTED_SHARE = 40, 0.04
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = frozenset((
@@ -144,22 +146,36 @@ class _Blocks:
         self.found: list[tuple[str, int, int, bool]] = []
         self.parts: list[str] = []
         self.linked = self.in_link = self.breaks = 0
-        self.stack: list[tuple[str, str, int]] = []
+        self.stack: list[tuple[str, str]] = []
+        self.kinds: Counter[str] = Counter()                 # of the stack, so that depth costs nothing
+        self.tags: Counter[str] = Counter()
+        self.weak: list[int] = []
         self.heading = False
-        self.weak = GOOD
+        self.last_weak = GOOD
 
     def label(self) -> int:
         """Above ``GOOD``: the number of the innermost element with a weak word."""
-        kinds = {kind for _, kind, _ in self.stack}
-        if kinds & {"bad", "comment"}:
+        if self.kinds["bad"] or self.kinds["comment"]:
             return BAD
-        if "weak" in kinds:
-            return max(x[2] for x in self.stack)
-        return GOOD if "article" in kinds else OPEN
+        if self.weak:
+            return self.weak[-1]
+        return GOOD if self.kinds["article"] else OPEN
 
     def push(self, tag: str, kind: str) -> None:
-        self.weak += kind == "weak"
-        self.stack.append((tag, kind, self.weak if kind == "weak" else 0))
+        self.stack.append((tag, kind))
+        self.tags[tag] += 1
+        self.kinds[kind] += 1
+        if kind == "weak":
+            self.last_weak += 1
+            self.weak.append(self.last_weak)
+
+    def pop(self) -> str:
+        tag, kind = self.stack.pop()
+        self.tags[tag] -= 1
+        self.kinds[kind] -= 1
+        if kind == "weak":
+            self.weak.pop()
+        return tag
 
     def text(self, raw: str) -> None:
         if raw:
@@ -190,10 +206,13 @@ class _Blocks:
             self.heading = tag in HEADINGS
             if tag in VOID_TAGS or tag in ("html", "body"):
                 return
-            kind = _kind(tag, attributes, any(k == "article" or t == "article" for t, k, _ in self.stack), heading)
-            if kind == "article" and not any(k == "comment" for _, k, _ in self.stack):
-                self.stack = [x for x in self.stack if x[1] not in ("bad", "weak")]      # an article in a menu or advert: that one was left open
+            kind = _kind(tag, attributes, bool(self.kinds["article"] or self.tags["article"]), heading)
+            if kind == "article" and not self.kinds["comment"]:
                 self.in_link = 0
+                if self.kinds["bad"] or self.kinds["weak"]:      # an article in a menu or advert: that one was left open
+                    self.stack = [x for x in self.stack if x[1] not in ("bad", "weak")]
+                    self.tags, self.kinds = (Counter(x[i] for x in self.stack) for i in (0, 1))
+                    self.weak = []
             if kind or tag not in LOOSE_TAGS:
                 self.push(tag, kind)
         elif attributes and tag not in VOID_TAGS:
@@ -210,12 +229,11 @@ class _Blocks:
             self.end()
             if tag not in LOOSE_TAGS:
                 self.in_link = 0
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if tag not in BLOCK_TAGS:
-                    self.end()
-                del self.stack[i:]
-                return
+        if self.tags[tag]:
+            if tag not in BLOCK_TAGS:
+                self.end()
+            while self.pop() != tag:
+                pass
 
 
 def _tokens(page: str) -> list[tuple[int, int, str, bool, str]]:
@@ -326,15 +344,27 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
             own = title >= 0
             out.open(tag, attributes, lambda at=title if own else i, own=own: (headings.text(at if own else headings.begins(at)), own))
             if attributes.endswith("/") and len(out.stack) > before and tag not in BLOCK_TAGS:
-                out.stack.pop()
+                out.pop()
     out.text(page[at:])
     out.end()
     return out.found
 
 
+def _latin(words: list[str]) -> bool:
+    """Are at least half of the words in the script that the stop words are written in?"""
+    return 2 * sum("a" <= w[0] <= "z" or "\u00c0" <= w[0] <= "\u024f" for w in words) >= len(words)
+
+
+def _listed(found: list[tuple[str, int, int, bool]]) -> bool:
+    """Is the page's undecided prose in a language with stop words? False only if it has enough words and hardly one of them."""
+    words = [w for text, linked, around, _ in found if around not in (BAD, GOOD) and len(text) >= SHORT and linked <= LINKS * len(text)
+             for w in _WORD.findall(text.lower())]
+    return len(words) < LISTED_WORDS or sum(w in STOP_WORDS for w in words) >= LISTED_SHARE * len(words)
+
+
 def labels(found: list[tuple[str, int, int, bool]]) -> list[int]:
     """Final label of each block."""
-    first, nearly = [], []
+    first, nearly, listed = [], [], _listed(found)
     for text, linked, around, _ in found:
         words = _WORD.findall(text.lower()) if around not in (BAD, GOOD) else ()
         stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
@@ -342,12 +372,14 @@ def labels(found: list[tuple[str, int, int, bool]]) -> list[int]:
         nearly.append(stop >= STOP_HIGH)
         if around == BAD:
             first.append(BAD)
-        elif links > LINKS and (around != GOOD or links > 0.9):
-            first.append(BAD)
         elif around == GOOD:
             first.append(GOOD)
+        elif links > LINKS:
+            first.append(BAD)
         elif len(text) < SHORT:
             first.append(BAD if linked else OPEN)
+        elif not listed or not _latin(words):
+            first.append(GOOD if len(text) > LONG else OPEN)      # no list for this language: length and links decide
         elif stop >= STOP_HIGH:
             first.append(GOOD if len(text) > LONG else OPEN)
         else:
