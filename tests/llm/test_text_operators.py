@@ -339,6 +339,19 @@ def test_mix_against_brute_force(spark, table):
     assert sorted(map(str, again.collect())) == sorted(map(str, got))
 
 
+def test_equal_rows_and_rows_without_an_id_share_no_part(spark, table):
+    """20,000 rows without an id and 5,000 repeats of one row are spread over the parts, and stay as many."""
+    rows = [(None, "one two three", "a")] * 20_000 + [(4, "four five", "b")] * 5_000 + [(i, "w " * (i % 9), "b") for i in range(5, 500)]
+    mixture = M.mix(table(rows, "doc_id long, text string, source string", 4), part_rows=1000)
+    sizes = [r["count"] for r in mixture.sized.groupBy("src", "part").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 40 and max(sizes) < 1500
+    got = mixture.taken().collect()
+    assert Counter((r["id"], r["size"]) for r in got) == Counter((i, len(x.split())) for i, x, _ in rows)
+    assert all(r["taken"] <= 2 * r["size"] for r in got)
+    again = M.mix(table(rows[::-1], "doc_id long, text string, source string"), part_rows=1000).taken().collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 def test_plan_uses_each_block_evenly_and_spans_fill_the_slots(spark, table):
     docs = [(i, " ".join(["w"] * (20 + i % 90)), "ab"[i % 5 == 0]) for i in range(300)]
     mixture = M.mix(table(docs, "doc_id long, text string, source string"), shard_slots=64)

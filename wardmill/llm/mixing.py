@@ -116,13 +116,13 @@ def mix(docs: DataFrame, *, id_: str = "doc_id", text: str = "text", source: str
         share: float = SHARE, cap: float = CAP, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, part_rows: int = PART_ROWS, seed: int = SEED) -> Mixture:
     """Null sources are a source, null ids stay; documents without words are in no block; repeated rows are documents of their own."""
     spark = docs.sparkSession
-    plain = stored(sizes(docs, id_, text, source), "sizes")
-    kinds = stored(targets(plain, weights, share, cap), "targets")
+    equal = stored(sizes(docs, id_, text, source).groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    kinds = stored(targets(equal.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, cap), "targets")
     rows = kinds.orderBy("src").collect()
-    parts = max(1, -(-plain.count() // part_rows))
-    names = kinds.select("source", "src")
-    order = F.xxhash64(F.lit(seed), "id", "size")
-    sized = plain.join(names, plain["source"].eqNullSafe(names["source"])).select("id", plain["source"], "src", "size", order.alias("mark"))
+    parts = max(1, -(-(equal.agg(F.sum("n")).first()[0] or 0) // part_rows))
+    names = kinds.select(F.col("source").alias("name"), "src")
+    sized = _each(equal, part_rows).join(names, F.col("source").eqNullSafe(F.col("name")))
+    sized = sized.select("id", "source", "src", "size", F.xxhash64(F.lit(seed), "id", "size", "nth").alias("mark"))
     sized = stored(sized.withColumn("part", F.pmod(F.xxhash64("mark"), F.lit(parts)).cast("int")), "sized")
 
     sources = []
@@ -132,6 +132,16 @@ def mix(docs: DataFrame, *, id_: str = "doc_id", text: str = "text", source: str
     return Mixture(sources, _plan(spark, sources, shard_slots, seed), _pieces(sized, block), sized)
 
 
+def _each(equal: DataFrame, run: int) -> DataFrame:
+    """A row for each of ``n`` equal ones, told apart by ``nth``. Many equal rows are made by several tasks, ``run`` at a time."""
+    columns = ["source", "id", "size"]
+    few = equal.where(f"n <= {run}").select(*columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("nth"))
+    many = equal.where(f"n > {run}").select(*columns, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {run}"))).alias("run"))
+    many = many.repartition(*columns, "run")
+    nth = F.sequence(F.col("run") * run, F.least(F.col("n"), (F.col("run") + 1) * run) - 1)
+    return few.unionByName(many.select(*columns, F.explode(nth).alias("nth")))
+
+
 def _pieces(sized: DataFrame, block: int) -> DataFrame:
     some = sized.where("size > 0")
     sums = some.groupBy("src", "part").agg(F.sum("size").alias("sum"))
