@@ -37,3 +37,18 @@ def test_rows_are_taken_once_across_restarts(spark, folder):
     assert got == sorted(WANT, key=str)
     assert run(spark, folder) == got                       # nothing new
 
+
+
+def test_entities_share_a_state_and_stay_apart(spark, folder):
+    """Some calls of Python for all entities, not one for each; a null beside a large key does not round it."""
+    ddl, big = "k string, d date, v bigint", 2**53 + 1
+    first = [(f"e{i}", day(i % 20), big + i) for i in range(300)]
+    again = [(f"e{i}", day(i % 20 + i % 2), None if i == 7 else big) for i in range(300)]          # the line is day 16
+    for data in (first, again):
+        spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        q = stream_once(file_stream(spark, f"{folder}/in", ddl), ["k"], "d", f"{folder}/out", f"{folder}/cp", 3, buckets=4)
+        q.awaitTermination(60)
+        assert q.recentProgress[0]["stateOperators"][0]["numRowsTotal"] <= 4
+    late = [(*r, "late" if r[1] < day(16) else "taken" if int(r[0][1:]) % 2 else "repeat") for r in again]
+    got = spark.read.schema(f"{ddl}, outcome string").parquet(f"{folder}/out").drop("batch_id")
+    assert sorted(rows(got), key=str) == sorted([*((*r, "taken") for r in first), *late], key=str)
