@@ -14,7 +14,8 @@ from wardmill.session import build_session, ensure_checkpoint_dir  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     shared = tempfile.mkdtemp(prefix="wardmill-shared-")
-    session = build_session("tests", "local[4]", 4, "6g", {"spark.checkpoint.dir": shared})
+    # Tests that count executions need all of them kept; the default of 1,000 is reached before the last test.
+    session = build_session("tests", "local[4]", 4, "6g", {"spark.checkpoint.dir": shared, "spark.sql.ui.retainedExecutions": "20000"})
     session.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(session)
     yield session
